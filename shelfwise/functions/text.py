@@ -81,6 +81,18 @@ def tokens(c: Column) -> Column:
     return F.filter(words, lambda w: F.length(w) >= 2)
 
 
+def term_counts(c: Column) -> Column:
+    """Array of (token, tf) structs of a text: sorted words cut into runs."""
+    def runs(words):
+        starts = F.filter(F.transform(words, lambda w, i: F.when(
+            F.coalesce(F.get(words, i - 1) != w, F.lit(True)), i)), lambda i: i.isNotNull())
+        return F.get(F.transform(F.array(starts), lambda at: F.transform(at, lambda p, j: F.struct(
+            F.get(words, p).alias("token"),
+            (F.coalesce(F.get(at, j + 1), F.size(words)) - p).alias("tf")))), F.lit(0))
+
+    return F.get(F.transform(F.array(F.sort_array(tokens(c))), runs), F.lit(0))
+
+
 def raw_tokens(c: Column) -> Column:
     """Distinct words of two or more characters; quotes act as separators."""
     words = F.split(F.lower(F.coalesce(c, F.lit(""))), NOT_A_WORD)

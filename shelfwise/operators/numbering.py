@@ -26,32 +26,54 @@ def _boundaries(keys: DataFrame, names: list[str], ranges: int) -> list[tuple]:
     return sorted({sample[int(i * step)] for i in range(1, ranges)})
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[str], out: str,
-                start: int = 1, ranges: int = 64,
-                sample_from: DataFrame | None = None) -> DataFrame:
-    """Add ``out``: ``start``, ``start + 1``, … by ``order`` within ``group``.
-
-    ``group + order`` must be non-null and identify a row.
-    """
+def _ranged(df: DataFrame, group: list[str], order: list[str], ranges: int,
+            sample_from: DataFrame | None) -> DataFrame:
+    """Add ``_range``: the number of boundary keys at or below a row's key."""
     names = [*group, *order]
     source = df if sample_from is None else sample_from
     cuts = [] if fits_broadcast(source) else _boundaries(source, names, ranges)
+    if not cuts:
+        return df.withColumn("_range", F.lit(0))
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(n) for n in names])
     edges = F.array(*[
-        F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, cut)]) for cut in cuts
-    ]) if cuts else None
-    part = F.size(F.filter(edges, lambda e: e <= key)) if cuts else F.lit(0)
-    ranged = df.withColumn("_range", part)
+        F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, cut)]) for cut in cuts])
+    return df.withColumn("_range", F.size(F.filter(edges, lambda e: e <= key)))
+
+
+def _with_offsets(ranged: DataFrame, group: list[str], size: Column) -> DataFrame:
+    """Add ``_before``: the sum of ``size`` over earlier ranges of the group.
 
-    sizes = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    # At most ranges * groups rows; each group holds at most `ranges` of them.
+    The window sees at most one row per range and group.
+    """
+    sizes = ranged.groupBy(*group, "_range").agg(size.alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *group, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
+        *group, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return ranged.join(offsets, [*group, "_range"], "inner")
+
+
+def number_rows(df: DataFrame, group: list[str], order: list[str], out: str,
+                start: int = 1, ranges: int = 64,
+                sample_from: DataFrame | None = None) -> DataFrame:
+    """Add ``out``: ``start``, ``start + 1``, … by ``order`` within ``group``.
+
+    ``group + order`` must be non-null and identify a row.
+    """
+    ranged = _ranged(df, group, order, ranges, sample_from)
     inside = Window.partitionBy(*group, "_range").orderBy(*order)
     numbered = ranged.withColumn("_rn", F.row_number().over(inside))
-    joined = numbered.join(offsets, [*group, "_range"], "inner")
+    joined = _with_offsets(numbered, group, F.count(F.lit(1)))
     number: Column = F.col("_before") + F.col("_rn") - 1 + start
     return joined.withColumn(out, number.cast("bigint")).drop("_range", "_rn", "_before")
+
+
+def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
+                  ranges: int = 64, sample_from: DataFrame | None = None) -> DataFrame:
+    """Add ``out``: the sum of ``value`` up to and including each row."""
+    ranged = _ranged(df, group, order, ranges, sample_from)
+    so_far = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.withColumn("_sum", F.sum(value).over(so_far))
+    joined = _with_offsets(summed, group, F.sum(value))
+    return joined.withColumn(out, F.col("_before") + F.col("_sum")).drop("_range", "_sum", "_before")
