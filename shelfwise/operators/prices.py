@@ -57,7 +57,7 @@ def store_rows(raw: DataFrame) -> DataFrame:
     city = text.pick(raw, "city", "cityname")
     rows = raw.select(
         text.digits(F.coalesce(text.pick(raw, "chainid", "chain_id"), F.lit(""))).alias("chain_id"),
-        text.store_code(store).alias("store_id"),
+        F.when(store.isNotNull(), text.store_code(store)).alias("store_id"),
         F.coalesce(text.pick(raw, "subchainid", "subchain_id"), F.lit("")).alias("subchain_id"),
         text.pick(raw, "chainname", "chain_name").alias("chain_name"),
         text.pick(raw, "storename", "store_name").alias("store_name"),
