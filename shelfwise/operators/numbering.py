@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.operators.spread import fits_broadcast
+from shelfwise.operators.spread import lookup_bytes
 
 SAMPLE = 4096
+# A table no larger than the usual share of one scan task needs no cutting.
+ONE_RANGE = 128 << 20
 
 
 def _boundaries(keys: DataFrame, names: list[str], ranges: int) -> list[tuple]:
@@ -31,7 +33,8 @@ def _ranged(df: DataFrame, group: list[str], order: list[str], ranges: int,
     """Add ``_range``: the number of boundary keys at or below a row's key."""
     names = [*group, *order]
     source = df if sample_from is None else sample_from
-    cuts = [] if fits_broadcast(source) else _boundaries(source, names, ranges)
+    size = lookup_bytes(source)
+    cuts = [] if size is not None and size <= ONE_RANGE else _boundaries(source, names, ranges)
     if not cuts:
         return df.withColumn("_range", F.lit(0))
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A side is broadcast only when the size the optimiser reports for it is within
-the session's own limit; otherwise the unique side is copied under a few salts
+A side is broadcast only when a bound on its size is within the session's own
+limit; otherwise the unique side is copied under a few salts
 and the other side picks one, so a hot key is shared by many tasks.
 """
 
@@ -9,21 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-WAYS = 16
+WAYS = 8
+UNPACKED = 4
 
 
-def reported_bytes(df: DataFrame) -> int | None:
-    """Upper estimate of ``df`` from plan statistics; no job is run."""
+def lookup_bytes(df: DataFrame) -> int | None:
+    """Bound on the size of a lookup table, from plan statistics; no job is run.
+
+    The optimiser multiplies the sizes of joined inputs, which says nothing
+    about lookups joined one-to-one. A lookup built with filters, aggregates
+    and such joins has no more rows than its files, so ``UNPACKED`` times their
+    size bounds it as well, and the lesser bound counts.
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        files = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return min(int(plan.stats().sizeInBytes().toString()), UNPACKED * files)
     except Exception:  # no JVM handle (Connect): treat the size as unknown
         return None
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    size = reported_bytes(df)
+    size = lookup_bytes(df)
     return size is not None and size <= _as_bytes(limit)
 
 

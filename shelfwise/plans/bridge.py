@@ -8,6 +8,7 @@ All money is integer agorot, so both sides compute exactly.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators import offers as offer_ops
 from shelfwise.operators import prices as price_ops
@@ -25,6 +26,9 @@ def ean(key: str | Column) -> Column:
     return F.concat(F.lit("729"), F.reverse(F.lpad(c.cast("string"), 9, "0")))
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Bridge:
     """Logical tables over one data folder."""
 
@@ -32,7 +36,10 @@ class Bridge:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # --- dimensions
 
@@ -93,7 +100,7 @@ class Bridge:
         wanted = {"l_suppkey", "l_partkey", "l_discount", "l_shipdate", "l_orderkey", "l_linenumber", *columns}
         rows = self.table("lineitem").select(*sorted(wanted))
         shops = self.suppliers().select(F.col("s_suppkey").alias("l_suppkey"), "chain_id", "store_id", "city")
-        percent = F.round(F.col("l_discount") * 100).cast("bigint")
+        percent = F.floor(F.col("l_discount") * 100 + 0.5)
         placed = lookup_join(rows, shops, ["l_suppkey"], ["l_orderkey", "l_linenumber"], "inner")
         return placed.withColumns({
             "barcode": ean("l_partkey"), "agorot": (F.col("l_partkey") % 500 + 100) * (100 - percent),

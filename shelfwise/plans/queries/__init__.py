@@ -1,3 +1,3 @@
 """Registered queries, by subject."""
 
-from shelfwise.plans.queries import offers, prices  # noqa: F401
+from shelfwise.plans.queries import catalog, offers, prices  # noqa: F401

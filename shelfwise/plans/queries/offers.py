@@ -13,7 +13,7 @@ from shelfwise.plans.registry import query
 TERMS = "chain_id, barcode, club::BIGINT AS club, coupon::BIGINT AS coupon, qty_milli::BIGINT AS qty_milli"
 READ = f"{TERMS}, unit_agorot"
 KEY = "chain_id, barcode, club, coupon, qty_milli"
-CHAIN = "ASIA"
+CHAIN, BRANCH = "ASIA", "9"
 RESOLVED = """
     , resolved AS (SELECT r.chain_id, r.barcode, r.club, r.coupon, r.qty_milli, r.store_id, r.promo_id, r.description,
           r.starts, r.ends, 100 + coalesce(e.agorot, b.agorot) AS agorot
@@ -108,25 +108,27 @@ def domination_prune(b: Bridge):
 
 
 DEAL = """chain_id, barcode, club::BIGINT AS club, coupon::BIGINT AS coupon, qty_milli::BIGINT AS qty_milli, unit_agorot,
-    agorot, deal_id, base_agorot, category_id::BIGINT AS category_id, name, discount_tenths"""
-DEAL_COLS = [*offers.READ_TERMS, "agorot", "deal_id", "base_agorot", "category_id", "name", "discount_tenths"]
+    agorot, deal_id, base_agorot, coalesce(category_id, -1)::BIGINT AS category_id, name, discount_tenths"""
+def deal_columns() -> list:
+    return [*offers.READ_TERMS, "agorot", "deal_id", "base_agorot",
+            F.coalesce("category_id", F.lit(-1)).alias("category_id"), "name", "discount_tenths"]
 
 
 @query("deals", f"SELECT {DEAL} FROM deals", ("deals",))
 def deals(b: Bridge):
-    return b.deals()[0].select(*DEAL_COLS)
+    return b.deals()[0].select(*deal_columns())
 
 
 @query("best_deal_per_product", f"SELECT {DEAL}, chains_on_deal FROM best_deals", ("best_deals",))
 def best_deal_per_product(b: Bridge):
-    return offers.best_deal_per_product(b.deals()[0]).select(*DEAL_COLS, "chains_on_deal")
+    return offers.best_deal_per_product(b.deals()[0]).select(*deal_columns(), "chains_on_deal")
 
 
 @query("deals_first_page", f"""
     SELECT {DEAL}, chains_on_deal FROM best_deals ORDER BY discount_tenths DESC, deal_id LIMIT 25""", ("best_deals",))
 def deals_first_page(b: Bridge):
     best = offers.best_deal_per_product(b.deals()[0])
-    return offers.list_deals(best, limit=24).select(*DEAL_COLS, "chains_on_deal")
+    return offers.list_deals(best, limit=24).select(*deal_columns(), "chains_on_deal")
 
 
 @query("deals_page_after_cursor", f"""
@@ -136,7 +138,7 @@ def deals_first_page(b: Bridge):
 def deals_page_after_cursor(b: Bridge):
     best = offers.best_deal_per_product(b.deals()[0])
     page = offers.list_deals(best, 24, cursor=offers.encode_cursor(60, 1000), category_id=107)
-    return page.select(*DEAL_COLS, "chains_on_deal")
+    return page.select(*deal_columns(), "chains_on_deal")
 
 
 @query("deals_of_chain", f"""
@@ -148,25 +150,25 @@ def deals_page_after_cursor(b: Bridge):
 def deals_of_chain(b: Bridge):
     table, links, _ = b.deals()
     page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN)
-    return page.select(*DEAL_COLS, "branches_on_deal")
+    return page.select(*deal_columns(), "branches_on_deal")
 
 
 @query("deals_of_branch", f"""
     , here AS (SELECT d.* FROM real_deals d JOIN klinks k USING ({KEY}, unit_agorot)
-        WHERE d.chain_id = '{CHAIN}' AND k.store_id = '2')
+        WHERE d.chain_id = '{CHAIN}' AND k.store_id = '{BRANCH}')
     SELECT {DEAL} FROM (SELECT * FROM here QUALIFY row_number() OVER (PARTITION BY barcode ORDER BY unit_agorot, deal_id) = 1)
     ORDER BY discount_tenths DESC, deal_id LIMIT 25""", ("real_deals", "klinks"))
 def deals_of_branch(b: Bridge):
     table, links, _ = b.deals()
-    page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN, store_id="2")
-    return page.select(*DEAL_COLS)
+    page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN, store_id=BRANCH)
+    return page.select(*deal_columns())
 
 
 @query("best_deal_per_chain_product", f"""
     SELECT {DEAL} FROM real_deals QUALIFY row_number() OVER (PARTITION BY chain_id, barcode ORDER BY unit_agorot, deal_id) = 1""",
        ("real_deals",))
 def best_deal_per_chain_product(b: Bridge):
-    return offers.chain_deals_every_chain(b.deals()[0]).select(*DEAL_COLS)
+    return offers.chain_deals_every_chain(b.deals()[0]).select(*deal_columns())
 
 
 @query("best_deal_per_branch_product", f"""
@@ -230,8 +232,8 @@ def branch_lists(b: Bridge):
 @query("promotion_documents", COARSE + f"""
     , lists AS (SELECT {KEY}, unit_agorot, string_agg(store_id, ',' ORDER BY store_id) AS stores FROM listing GROUP BY ALL)
     SELECT chain_id, barcode, unit_agorot, qty_milli::BIGINT AS qty_milli,
-           coalesce(description, '') AS d, CAST(ends AS VARCHAR) AS e, CASE WHEN club = 1 THEN 1::BIGINT END AS c,
-           CASE WHEN coupon = 1 THEN 1::BIGINT END AS k, CASE WHEN starts > DATE '{TODAY}' THEN CAST(starts AS VARCHAR) END AS b,
+           coalesce(description, '') AS d, CAST(ends AS VARCHAR) AS e, club::BIGINT AS c,
+           coupon::BIGINT AS k, CASE WHEN starts > DATE '{TODAY}' THEN CAST(starts AS VARCHAR) END AS b,
            CASE WHEN mode = 'only' THEN stores END AS s, CASE WHEN mode = 'except' THEN stores END AS x
     FROM kept JOIN modes USING ({KEY}, unit_agorot) LEFT JOIN lists USING ({KEY}, unit_agorot)""",
        ("kept", "klinks", "everywhere", "stores"))
@@ -241,7 +243,7 @@ def promotion_documents(b: Bridge):
     rows = offers.promotion_entries(kept, modes, offers.branch_listing(links, everywhere, modes), TODAY)
     o = F.col("offer")
     return rows.select("chain_id", "barcode", "unit_agorot", "min_qty", o["d"].alias("d"), o["e"].alias("e"),
-                       o["c"].alias("c"), o["k"].alias("k"), o["b"].alias("b"),
+                       F.coalesce(o["c"], F.lit(0)).alias("c"), F.coalesce(o["k"], F.lit(0)).alias("k"), o["b"].alias("b"),
                        F.array_join(o["s"], ",").alias("s"), F.array_join(o["x"], ",").alias("x"))
 
 

@@ -34,7 +34,11 @@ def query(name: str, sql: str | None = None, needs: tuple[str, ...] = ()):
     """Register a function of a :class:`Bridge` under ``name``."""
 
     def register(fn: Callable[[Bridge], DataFrame]):
-        QUERIES[name] = lambda spark, folder: plain(fn(Bridge(spark, folder)))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return plain(fn(Bridge(spark, folder)))
+
+        run.__doc__ = fn.__module__.rpartition(".")[2]
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_ctes(sql, *needs)
         return fn

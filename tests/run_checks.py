@@ -19,7 +19,8 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(folder), 0
     queries, oracles = entry.queries(), entry.oracle_sql()
-    for name in [n for n in queries if not args or any(a in n for a in args)]:
+    from_module = lambda n: queries[n].__doc__ or ""
+    for name in [n for n in queries if not args or any(a in n or a == from_module(n) for a in args)]:
         try:
             problem, rows, took = check(spark, con, name, queries[name], oracles.get(name), folder)
         except Exception as err:
