@@ -133,8 +133,7 @@ def resolve_scans(scans: DataFrame, products: DataFrame, variants: bool = False)
 
 def store_pairs(values: DataFrame) -> DataFrame:
     """(chain, store) pairs of ``chain:store`` texts; malformed ones ignored."""
-    part = F.trim(F.explode(F.split("value", ",")))
-    rows = values.select(part.alias("p")).select(
+    rows = values.select(F.explode(F.split("value", ",")).alias("p")).withColumn("p", F.trim("p")).select(
         F.substring_index("p", ":", 1).alias("chain_id"),
         F.regexp_extract("p", "^[^:]*:(.*)$", 1).alias("store_id"))
     return rows.filter("chain_id <> '' and store_id <> ''").distinct()
@@ -164,18 +163,23 @@ def price_documents(products: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def product_lookup(requests: DataFrame, products: DataFrame, base: DataFrame, exc: DataFrame,
-                   entries: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """Batch product lookup: one row per request, null document if unknown."""
+                   entries: DataFrame, pairs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Batch product lookup, keyed by the raw code asked for.
+
+    ``documents`` has one row per request, null when unknown. Store prices and
+    offers come as rows of their own, so that no request grows without bound.
+    """
     resolved = resolve_scans(requests, products)
     wanted = resolved.filter("barcode is not null").select("barcode").distinct()
-    only = lambda df: exists_join(df, wanted, ["barcode"], ["chain_id"] if "chain_id" in df.columns else ["name"])
-    docs = price_documents(only(products), only(base))
-    detail = detail_documents(exceptions_for(only(exc), pairs)).groupBy("barcode").agg(
-        F.sort_array(F.collect_list(F.struct("chain_id", "part", "prices"))).alias("detail"))
-    promo = only(entries).groupBy("barcode", "chain_id").agg(
-        F.sort_array(F.collect_list(F.struct("unit_agorot", "min_qty", F.to_json("offer").alias("offer")))).alias("o")
-    ).groupBy("barcode").agg(F.sort_array(F.collect_list(F.struct("chain_id", F.col("o.offer").alias("offers")))).alias("promo"))
-    return resolved.join(docs, "barcode", "left").join(detail, "barcode", "left").join(promo, "barcode", "left")
+    only = lambda df, spread: exists_join(df, wanted, ["barcode"], [spread])
+    docs = price_documents(only(products, "name"), only(base, "chain_id"))
+    detail = detail_documents(exceptions_for(only(exc, "store_id"), pairs))
+    asked = resolved.filter("barcode is not null")
+    return {
+        "documents": resolved.join(docs, "barcode", "left"),
+        "detail": asked.join(detail, "barcode"),
+        "offers": asked.join(only(entries, "unit_agorot"), "barcode"),
+    }
 
 
 PART_STORES = 10_000

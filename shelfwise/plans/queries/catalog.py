@@ -216,11 +216,13 @@ def batch_product_lookup(b: Bridge):
     kept, links, everywhere = b.kept()
     modes = offers.branch_modes(links, everywhere)
     entries = offers.promotion_entries(kept, modes, offers.branch_listing(links, everywhere, modes), TODAY)
-    rows = catalog.product_lookup(asked, b.products(), base, exc, entries)
-    total = lambda c, f: F.coalesce(F.aggregate(c, F.lit(0), lambda a, x: a + F.size(x[f])), F.lit(0))
-    return rows.select("raw", "barcode", F.col("doc.n").alias("name"),
-                       F.coalesce(F.size(F.map_keys("doc.p")), F.lit(0)).alias("chains"),
-                       total("detail", "prices").alias("exceptions"), total("promo", "offers").alias("offers"))
+    found = catalog.product_lookup(asked, b.products(), base, exc, entries)
+    many = lambda name, n: found[name].groupBy("raw").agg(n.cast("bigint").alias(name if name != "detail" else "exceptions"))
+    rows = found["documents"].join(many("detail", F.sum(F.size("prices"))), "raw", "left").join(
+        many("offers", F.count(F.lit(1))), "raw", "left")
+    none = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return rows.select("raw", "barcode", F.col("doc.n").alias("name"), none(F.size(F.map_keys("doc.p"))).alias("chains"),
+                       none(F.col("exceptions")).alias("exceptions"), none(F.col("offers")).alias("offers"))
 
 
 @query("meta_summary", """
@@ -460,11 +462,11 @@ def taxonomy_coverage(b: Bridge):
 
 @query("taxonomy_flatten", """
     WITH heads AS (SELECT p_type, dense_rank() OVER (ORDER BY p_type) AS position FROM (SELECT DISTINCT p_type FROM part)),
-    subs AS (SELECT h.position, h.p_type, b.p_brand, row_number() OVER (PARTITION BY h.position ORDER BY b.p_brand) AS at
+    subs AS (SELECT h.position, h.p_type, b.p_brand, row_number() OVER (PARTITION BY h.position ORDER BY b.p_brand) AS pos
              FROM (SELECT DISTINCT p_type, p_brand FROM part) b JOIN heads h USING (p_type)),
-    flat AS (SELECT position, 0 AS at, p_type AS slug FROM heads UNION ALL SELECT position, at, p_type || '-' || p_brand FROM subs),
-    n AS (SELECT *, row_number() OVER (ORDER BY position, at) AS id FROM flat)
-    SELECT id, slug, CASE WHEN at > 0 THEN (SELECT id FROM n m WHERE m.position = n.position AND m.at = 0) ELSE -1 END AS parent_id FROM n""")
+    flat AS (SELECT position, 0 AS pos, p_type AS slug FROM heads UNION ALL SELECT position, pos, p_type || '-' || p_brand FROM subs),
+    n AS (SELECT *, row_number() OVER (ORDER BY position, pos) AS id FROM flat)
+    SELECT id, slug, CASE WHEN pos > 0 THEN (SELECT id FROM n m WHERE m.position = n.position AND m.pos = 0) ELSE -1 END AS parent_id FROM n""")
 def taxonomy_flatten(b: Bridge):
     """Types with their brands as aisles; both are fixed, short lists."""
     pairs = b.table("part").select("p_type", "p_brand").distinct()
