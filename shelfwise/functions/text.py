@@ -237,16 +237,17 @@ def clean_address(address: Column, city: Column) -> Column:
                      F.array().cast("array<string>").alias("rules"))
     # Each rule runs once on the previous state; an array of one element lets
     # the next step name that state without repeating its expression.
-    for rule, change in steps:
-        def advance(s, rule=rule, change=change):
+    def step(rule, change):
+        def advance(s):
             new = change(s["address"])
             fired = (new != s["address"]) & new.rlike(HEBREW_LETTER)
-            return F.when(
-                fired,
-                F.struct(new.alias("address"), F.array_append(s["rules"], F.lit(rule)).alias("rules")),
-            ).otherwise(s)
+            rules = F.array_append(s["rules"], F.lit(rule))
+            return F.when(fired, F.struct(new.alias("address"), rules.alias("rules"))).otherwise(s)
+
+        return advance
 
-        state = F.get(F.transform(F.array(state), advance), F.lit(0))
+    for rule, change in steps:
+        state = F.get(F.transform(F.array(state), step(rule, change)), F.lit(0))
     return state
 
 
