@@ -42,6 +42,17 @@ def _as_bytes(text: str) -> int:
     return int(text[:-1]) * scale if scale > 1 else int(text)
 
 
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan of few splits over all cores before heavy per-row work.
+
+    A scan with at least as many splits as cores is returned unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *scan.columns)
+
+
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list[str],
                 how: str = "left", ways: int = WAYS) -> DataFrame:
     """Join ``big`` to ``small``, which has at most a few rows per key.

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions import text
 from shelfwise.operators import promotions, shards
+from shelfwise.operators.spread import widen
 from shelfwise.plans.bridge import Bridge, ean
 from shelfwise.plans.registry import query
 from shelfwise.session import shared_dir
@@ -185,7 +186,9 @@ def _promotion_texts(b: Bridge) -> DataFrame:
                      _element("AdditionalIsCoupon", F.when(F.col("l_linestatus") == "F", "1").otherwise("0")), body)
     content = F.concat(F.lit("<Root>"), _element("ChainID", "7290000000001"), _element("StoreId", F.concat(F.lit("0"), F.col("l_suppkey").cast("string"))),
                        _element("Promotions", _element("Promotion", promo)), F.lit("</Root>"))
-    return b.table("lineitem").select(F.col("l_orderkey").cast("string").alias("_file"), content.alias("content"))
+    rows = b.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                      "l_returnflag", "l_linestatus")
+    return widen(rows).select(F.col("l_orderkey").cast("string").alias("_file"), content.alias("content"))
 
 
 @query("promotion_files_to_offers", """
