@@ -21,13 +21,12 @@ def lookup_bytes(df: DataFrame) -> int | None:
     and such joins has no more rows than its files, so ``UNPACKED`` times their
     size bounds it as well, and the lesser bound counts.
     """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        leaves = plan.collectLeaves()
-        files = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-        return min(int(plan.stats().sizeInBytes().toString()), UNPACKED * files)
-    except Exception:  # no JVM handle (Connect): treat the size as unknown
+    if not hasattr(df, "_jdf"):  # no JVM handle (Connect): the size is unknown
         return None
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    files = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return min(int(plan.stats().sizeInBytes()), UNPACKED * files)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
