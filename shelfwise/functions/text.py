@@ -26,7 +26,7 @@ IMAGE_BARCODE = r"/gs1-products/1062/[^/]+/(\d{8,14})-\d+/\1/"
 IMAGE_BARCODE_LOOSE = r"/gs1-products/1062/[^/]+/(\d{8,14})-"
 DOWNLOAD_LINK = r"/Prices/Download\?fileName=([^\"'&<>]+)"
 FULL_SNAPSHOT = r"(?i)^(PriceFull|PromoFull|Stores)"
-EXPORT_NAME = r"^[A-Za-z]+\d{13}(-\d+){1,2}-\d{8}-?\d{4,6}(\.[A-Za-z]+)*$"
+EXPORT_NAME = r"^[A-Za-z]+\d{13}(-\d+(-\d+)?-\d{8}-\d{4,6}|-\d+-\d{12,14})(\.[A-Za-z]+)*$"
 
 
 def blank_to_null(c: Column) -> Column:
