@@ -159,9 +159,9 @@ def barcode_variants(c: Column) -> Column:
 
 
 def file_stamp(name: Column) -> Column:
-    day_part = F.regexp_extract(name, FILE_STAMP, 1)
-    time_part = F.rpad(F.regexp_extract(name, FILE_STAMP, 2), 6, "0")
-    return F.when(day_part != "", F.concat(day_part, time_part))
+    """Last date-shaped run of a name as fourteen digits; null without one."""
+    found = F.translate(F.regexp_extract(name, FILE_STAMP, 0), "-_", "")
+    return F.rpad(blank_to_null(found), 14, "0")
 
 
 def file_kind(name: Column) -> Column:

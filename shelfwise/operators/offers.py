@@ -16,7 +16,7 @@ from shelfwise.functions import money, text
 from shelfwise.operators.numbering import number_rows
 from shelfwise.operators.prices import ITEM_KEY, shelf_prices
 from shelfwise.operators.spread import (
-    exists_join, lookup_join, max_by_order, min_by_order, spread_join,
+    FEW_KEYS_WAYS, exists_join, lookup_join, min_by_order, spread_join,
 )
 
 BUILD_TERMS = ["chain_id", "barcode", "club", "coupon", "min_qty", "agorot"]
@@ -314,7 +314,8 @@ def branch_listing(links: DataFrame, everywhere: DataFrame, modes: DataFrame) ->
     said = modes.select(*READ_TERMS, "mode").filter("mode <> 'all'")
     only = links.join(said.filter("mode = 'only'"), READ_TERMS).select(*READ_TERMS, "mode", "store_id")
     absent = said.filter("mode = 'except'")
-    pairs = spread_join(absent, everywhere, ["chain_id"], ["barcode", "unit_agorot", "club", "coupon"], "inner")
+    pairs = spread_join(absent, everywhere, ["chain_id"], ["barcode", "unit_agorot", "club", "coupon"], "inner",
+                        FEW_KEYS_WAYS)
     missing = pairs.join(links, [*READ_TERMS, "store_id"], "left_anti")
     return only.unionByName(missing.select(*READ_TERMS, "mode", "store_id"))
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import geo, text
-from shelfwise.operators.spread import lookup_join, spread_join
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, spread_join
 
 # Fixed value.
 SANITY_KM = 20.0
@@ -108,7 +108,7 @@ def nearest_reference_km(points: DataFrame, refs: DataFrame, cell_size: float =
         F.min("_lat").alias("_s"), F.max("_lat").alias("_n"), F.min("_lon").alias("_w"), F.max("_lon").alias("_e"),
         F.min(F.struct("_lat", "_lon")).alias("_one"))
     asked = points.select("city", "lat", "lon").filter("city <> ''").distinct()
-    opened = spread_join(asked, cells, ["city"], ["lat", "lon"], "inner")
+    opened = spread_join(asked, cells, ["city"], ["lat", "lon"], "inner", FEW_KEYS_WAYS)
     # True lower bounds: the latitude gap, and the longitude gap at the higher latitude.
     lat_gap = F.greatest(F.col("_s") - F.col("lat"), F.col("lat") - F.col("_n"), F.lit(0.0))
     lon_gap = F.greatest(F.col("_w") - F.col("lon"), F.col("lon") - F.col("_e"), F.lit(0.0))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import money, text
 from shelfwise.operators.spread import (
-    exists_join, fits_broadcast, lookup_join, max_by_order, spread_join,
+    FEW_KEYS_WAYS, exists_join, fits_broadcast, lookup_join, max_by_order, spread_join,
 )
 
 STORE_KEY = ["chain_id", "store_id"]
@@ -205,7 +205,7 @@ def effective_prices(stores: DataFrame, base: DataFrame, exc: DataFrame) -> Data
     """
     shops = stores.select(*STORE_KEY, *[c for c in ("city", "store_name", "priced_items") if c in stores.columns])
     items = base.select(*ITEM_KEY, F.col("agorot").alias("_base"))
-    fanned = lookup_join(items, shops, ["chain_id"], ["barcode"], "inner")
+    fanned = lookup_join(items, shops, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
     own = exc.select(*PRICE_KEY, F.col("agorot").alias("_own"))
     priced = fanned.join(own, PRICE_KEY, "left")
     return priced.withColumn("agorot", F.coalesce("_own", "_base")).drop("_own", "_base")

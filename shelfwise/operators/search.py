@@ -41,6 +41,19 @@ def postings(docs: DataFrame) -> DataFrame:
         "t.token", "barcode", F.col("t.tf").cast("bigint").alias("tf"), "dl")
 
 
+def query_postings(docs: DataFrame, words: list[str]) -> DataFrame:
+    """Postings of just these words, for texts without a stored index.
+
+    Each text is cut once and reduced to the asked words before anything is
+    exploded or counted.
+    """
+    asked = F.array(*[F.lit(w) for w in sorted(set(words))])
+    cut = docs.select("barcode", "dl", F.explode(F.array(text.tokens(F.col("name")))).alias("_all"))
+    found = cut.select("barcode", "dl", "_all", F.explode(F.array_intersect(asked, "_all")).alias("token"))
+    tf = F.size(F.filter("_all", lambda w: w == F.col("token")))
+    return found.select("token", "barcode", tf.cast("bigint").alias("tf"), "dl")
+
+
 def corpus_stats(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_dl"))
 
@@ -76,8 +89,9 @@ def bm25(posts: DataFrame, stats: DataFrame, words: list[str]) -> DataFrame:
     # One row per distinct query word.
     found = hits.groupBy("token").agg(F.count(F.lit(1)).cast("double").alias("df"))
     weighted = hits.join(F.broadcast(found), "token")
-    n = stats.select(F.col("n").cast("double")).scalar()
-    avgdl = stats.select((F.col("total_dl") / F.col("n")).cast("double")).scalar()
+    corpus = stats.select(F.struct(
+        F.col("n").cast("double").alias("n"), (F.col("total_dl") / F.col("n")).cast("double").alias("avgdl"))).scalar()
+    n, avgdl = corpus["n"], corpus["avgdl"]
     repeat = F.lit(1.0)
     for word, count in times.items():
         if count > 1:

@@ -2,14 +2,18 @@
 
 A side is broadcast only when a bound on its size is within the session's own
 limit; otherwise the unique side is copied under a few salts
-and the other side picks one, so a hot key is shared by many tasks.
+and the other side picks one, so a hot key is shared by several tasks. The salt in
+the key also means that no later step can rely on the join's partitioning, which
+leaves adaptive execution free to split a skewed partition as far as needed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-WAYS = 8
+WAYS = 2
+# For keys with few values, such as the chain, where one value is always large.
+FEW_KEYS_WAYS = 64
 UNPACKED = 4
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from shelfwise.operators import offers as offer_ops
 from shelfwise.operators import prices as price_ops
 from shelfwise.operators import search as search_ops
-from shelfwise.operators.spread import lookup_join
+from shelfwise.operators.spread import lookup_join, widen
 
 TODAY = "1998-06-01"
 ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "agorot"]
@@ -173,7 +173,8 @@ class Bridge:
     # --- texts
 
     def documents(self) -> DataFrame:
-        return self.table("documents").select(F.col("doc_id").cast("string").alias("barcode"), F.col("text").alias("name"))
+        texts = widen(self.table("documents").select("doc_id", "text"))
+        return texts.select(F.col("doc_id").cast("string").alias("barcode"), F.col("text").alias("name"))
 
     def search_index(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         docs = search_ops.index_docs(self.documents())

@@ -31,7 +31,7 @@ def _file_table(b: Bridge) -> DataFrame:
     rows = b.table("lineitem").select(
         F.concat(F.lit("/in/"), name).alias("path"), chain.alias("chain_id"), F.col("l_suppkey").cast("string").alias("store_id"),
         F.to_date("l_shipdate").alias("day"), "l_orderkey")
-    return files.describe_names(rows)
+    return files.describe_names(widen(rows))
 
 
 FILES = """

@@ -70,9 +70,10 @@ def bm25_scores(b: Bridge):
     SELECT barcode, round(score * 10000)::BIGINT AS score FROM scored ORDER BY round(score * 10000) DESC, barcode LIMIT 20""",
        ("words", "postings"))
 def bm25_top_documents(b: Bridge):
-    _, posts, stats = b.search_index()
+    """The same scores without a stored index: only the asked words are kept."""
+    docs, _, stats = b.search_index()
     score = F.round(F.col("score") * 10000).cast("bigint")
-    return search.bm25(posts, stats, WORDS).select("barcode", score.alias("score")).orderBy(
+    return search.bm25(search.query_postings(docs, WORDS), stats, WORDS).select("barcode", score.alias("score")).orderBy(
         F.desc("score"), "barcode").limit(20)
 
 
