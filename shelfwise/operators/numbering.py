@@ -11,16 +11,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.operators.spread import lookup_bytes
+SAMPLE_PER_RANGE = 32
 
-SAMPLE = 4096
-# A table no larger than the usual share of one scan task needs no cutting.
-ONE_RANGE = 128 << 20
+
+def _range_count(df: DataFrame) -> int:
+    """About as many ranges as shuffle partitions, within reason."""
+    return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 16), 1000)
 
 
 def _boundaries(keys: DataFrame, names: list[str], ranges: int) -> list[tuple]:
     hashed = keys.select(*names).withColumn("_h", F.xxhash64(*names))
-    rows = hashed.orderBy("_h").limit(SAMPLE).collect()
+    rows = hashed.orderBy("_h").limit(SAMPLE_PER_RANGE * ranges).collect()
     sample = sorted({tuple(r[n] for n in names) for r in rows})
     if len(sample) <= ranges:
         return sample[1:]
@@ -29,14 +30,14 @@ def _boundaries(keys: DataFrame, names: list[str], ranges: int) -> list[tuple]:
 
 
 def _ranged(df: DataFrame, group: list[str], order: list[str], ranges: int,
-            sample_from: DataFrame | None) -> DataFrame:
+            sample_from: DataFrame | None) -> DataFrame | None:
     """Add ``_range``: the number of boundary keys at or below a row's key."""
-    names = [*group, *order]
-    source = df if sample_from is None else sample_from
-    size = lookup_bytes(source)
-    cuts = [] if size is not None and size <= ONE_RANGE else _boundaries(source, names, ranges)
-    if not cuts:
-        return df.withColumn("_range", F.lit(0))
+    names, ranges = [*group, *order], max(ranges, 2)
+    cuts = _boundaries(df if sample_from is None else sample_from, names, ranges)
+    if not cuts and sample_from is not None:
+        cuts = _boundaries(df, names, ranges)
+    if not cuts:  # at most one key: nothing to cut
+        return None
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(n) for n in names])
     edges = F.array(*[
@@ -57,13 +58,15 @@ def _with_offsets(ranged: DataFrame, group: list[str], size: Column) -> DataFram
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], out: str,
-                start: int = 1, ranges: int = 64,
+                start: int = 1, ranges: int | None = None,
                 sample_from: DataFrame | None = None) -> DataFrame:
     """Add ``out``: ``start``, ``start + 1``, … by ``order`` within ``group``.
 
     ``group + order`` must be non-null and identify a row.
     """
-    ranged = _ranged(df, group, order, ranges, sample_from)
+    ranged = _ranged(df, group, order, ranges or _range_count(df), sample_from)
+    if ranged is None:
+        return df.withColumn(out, F.lit(start).cast("bigint"))
     inside = Window.partitionBy(*group, "_range").orderBy(*order)
     numbered = ranged.withColumn("_rn", F.row_number().over(inside))
     joined = _with_offsets(numbered, group, F.count(F.lit(1)))
@@ -72,9 +75,11 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str,
 
 
 def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
-                  ranges: int = 64, sample_from: DataFrame | None = None) -> DataFrame:
+                  ranges: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` up to and including each row."""
-    ranged = _ranged(df, group, order, ranges, sample_from)
+    ranged = _ranged(df, group, order, ranges or _range_count(df), sample_from)
+    if ranged is None:
+        return df.withColumn(out, F.col(value))
     so_far = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     summed = ranged.withColumn("_sum", F.sum(value).over(so_far))

@@ -166,10 +166,18 @@ class Bridge:
         kept, links, everywhere = self.kept()
         deals = offer_ops.build_deals(
             kept, self.baselines(), self.products(), self.chain_products(), self.product_categories(),
-            sample_from=self.offer_rows().select(
-                "chain_id", "barcode", "club", "coupon", F.col("known_agorot").alias("unit_agorot"), "min_qty"))
+            sample_from=self.deal_key_sample())
         return deals, links, everywhere
 
+    def deal_key_sample(self) -> DataFrame:
+        """Keys spread like those of deals: every part once, chains in turn."""
+        part, region = self.table("part").select("p_partkey"), self.table("region")
+        paired = part.join(F.broadcast(region), F.expr("p_partkey % 5 = r_regionkey"))
+        zero = F.lit(0)
+        return paired.select(
+            F.col("r_name").alias("chain_id"), ean("p_partkey").alias("barcode"), zero.alias("club"), zero.alias("coupon"),
+            zero.cast("bigint").alias("unit_agorot"), zero.cast("decimal(10,3)").alias("min_qty"))
+
     # --- texts
 
     def documents(self) -> DataFrame:

@@ -349,7 +349,8 @@ LADDER = PATHS + """
 def _rules(b: Bridge):
     """Placement rules drawn from the parts themselves."""
     p = b.table("part").select("p_type", "p_brand", F.substring_index("p_name", " ", 1).alias("w"),
-                               F.substring_index("p_name", " ", -1).alias("last"))
+                               F.substring_index("p_name", " ", -1).alias("last"),
+                               F.when(F.col("p_size") % 5 == 0, "SHOP").alias("shop"))
     nil = F.lit("")
 
     def rule(rows, level, slug, dept=nil, cat=nil, leaf=nil, root=nil, second=nil):
@@ -362,13 +363,13 @@ def _rules(b: Bridge):
         rule(red, "leaf", F.concat(F.lit("leaf-"), t), t, F.lit("ECONOMY"), F.col("w")))
     pairs = rule(p.filter("p_type = 'LARGE'"), "pair", F.concat(F.lit("pair-"), br), t, br)
     depts = rule(p.filter("p_type in ('SMALL', 'ECONOMY')"), "department", F.concat(F.lit("dept-"), t), t)
-    roots = rule(p, "root", F.lit("root-shop"), root=F.lit("SHOP"))
-    falls = rule(p.filter("last = 'ring'"), "fallback", F.lit("fall-ring"), second=F.lit("ring"))
+    roots = rule(p.filter("shop is not null"), "root", F.lit("root-shop"), root=F.col("shop"))
+    falls = rule(p.filter("last = 'ring'"), "fallback", F.lit("fall-ring"), second=F.concat(F.col("last"), F.lit("")))
     return leafs.unionByName(pairs).unionByName(depts).unionByName(roots).unionByName(falls)
 
 
 def _placed(b: Bridge):
-    roots = b.table("part").select(F.lit("SHOP").alias("root")).distinct()
+    roots = b.table("part").filter("p_size % 5 = 0").select(F.when(F.col("p_size") % 5 == 0, "SHOP").alias("root"))
     return categories.place(categories.split_path(_paths(b), roots), _rules(b))
 
 
@@ -434,10 +435,10 @@ def placement_totals(b: Bridge):
     WITH r AS (SELECT DISTINCT p_type AS dept, p_brand AS cat, CASE WHEN p_type = 'PROMO' THEN 'lost' ELSE 'known' END AS slug FROM part
                WHERE p_size < 26),
     d AS (SELECT DISTINCT p_type AS dept, p_brand AS cat FROM part WHERE p_size >= 26)
-    SELECT 'shared' AS map_name, dept, cat, slug, CASE WHEN slug = 'lost' THEN 'unknown slug' ELSE 'no longer in any dump' END AS problem
+    SELECT lower(dept) AS map_name, dept, cat, slug, CASE WHEN slug = 'lost' THEN 'unknown slug' ELSE 'no longer in any dump' END AS problem
     FROM r WHERE slug = 'lost' OR (dept, cat) NOT IN (SELECT (dept, cat) FROM d)""")
 def mapping_audit(b: Bridge):
-    p = b.table("part").select(F.lit("shared").alias("map_name"), F.col("p_type").alias("dept"), F.col("p_brand").alias("cat"), "p_size")
+    p = b.table("part").select(F.lower("p_type").alias("map_name"), F.col("p_type").alias("dept"), F.col("p_brand").alias("cat"), "p_size")
     slug = F.when(F.col("dept") == "PROMO", "lost").otherwise("known")
     rules = p.filter("p_size < 26").withColumn("slug", slug).drop("p_size").distinct()
     dumps = p.filter("p_size >= 26").drop("p_size")

@@ -143,11 +143,11 @@ def file_header_identity(b: Bridge):
     SELECT CAST(l_suppkey AS VARCHAR) AS store_id, l_orderkey, l_linenumber::BIGINT AS l_linenumber, coalesce(last_value(v IGNORE NULLS) OVER (
         PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING), '') AS value FROM c""")
 def masked_cells_filled(b: Bridge):
-    """One export per supplier, a block per shipping year."""
+    """One export per supplier, a block per shipping day."""
     line = F.col("l_linenumber")
     cell = F.when(line.isin(1, 4, 6), "").when(line == 5, "''").otherwise(F.col("l_orderkey").cast("string"))
     rows = b.table("lineitem").select(
-        F.col("l_suppkey").cast("string").alias("_file"), F.year("l_shipdate").alias("_block"),
+        F.col("l_suppkey").cast("string").alias("_file"), F.unix_date(F.to_date("l_shipdate")).alias("_block"),
         F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey").alias("_row"), cell.alias("value"))
     out = csv.unmask(rows, ["value"])
     return out.select(F.col("_file").alias("store_id"), F.col("_row.l_orderkey").alias("l_orderkey"),

@@ -88,18 +88,19 @@ def test_city_names(spark):
         ("1", "Ashdod"), ("2", "Tel Aviv"), ("3", None), ("4", None), ("5", None), ("6", None)]
 
 
-def test_numbers_do_not_depend_on_ranges(spark, monkeypatch):
+def test_numbers_do_not_depend_on_ranges(spark):
     data = spark.range(500).select((F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("k"), F.lit(2).alias("v"))
-    plain = rows(numbering.number_rows(data, ["g"], ["k"], "n"), "g", "k", "n")
-    total = rows(numbering.running_total(data, [], ["k", "g"], "v", "t"), "k", "t")
-    monkeypatch.setattr(numbering, "ONE_RANGE", -1)
-    cut = numbering.number_rows(data, ["g"], ["k"], "n", ranges=7)
-    assert cut.select("k").count() == 500
-    assert rows(cut, "g", "k", "n") == plain
-    assert rows(numbering.running_total(data, [], ["k", "g"], "v", "t", ranges=7), "k", "t") == total
-    assert [t for _, t in sorted(total)] == list(range(2, 1001, 2))
-    by_group = sorted((g, k, n) for g, k, n in plain)
-    assert [n for g, _, n in by_group if g == 0] == list(range(1, 168))
+    keys = sorted((r.g, r.k) for r in data.collect())
+    expected = [(g, k, [x for x in keys if x[0] == g].index((g, k)) + 1) for g, k in keys]
+    skewed = data.filter("k < '3'")
+    for ranges, source in ((1, None), (7, None), (40, skewed), (16, data.filter("false"))):
+        got = numbering.number_rows(data, ["g"], ["k"], "n", ranges=ranges, sample_from=source)
+        assert sorted((r.g, r.k, r.n) for r in got.collect()) == expected
+        total = numbering.running_total(data, [], ["k", "g"], "v", "t", ranges=ranges, sample_from=source)
+        assert [r.t for r in sorted(total.collect())] != [] and sorted(r.t for r in total.collect()) == list(range(2, 1001, 2))
+        assert [r.t for r in sorted(total.collect(), key=lambda r: r.k)] == list(range(2, 1001, 2))
+    one = data.limit(1)
+    assert numbering.number_rows(one, ["g"], ["k"], "n", start=0).first()["n"] == 0
 
 
 def test_salted_join_equals_plain_join(spark):
