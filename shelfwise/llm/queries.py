@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import tables
+from shelfwise.llm import language_model, tables
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,14 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = substring_dedup(tables.documents(spark, folder))
     removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return done.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = tables.documents(spark, folder)
+    held_out = language_model.is_held_out(F.col("doc_id"))
+    model = language_model.train(docs.where(~held_out))
+    scored = language_model.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score", "score", "perplexity")
