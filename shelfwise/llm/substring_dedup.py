@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from shelfwise.llm import tables, words
 
@@ -21,17 +21,22 @@ WIDTH = 50
 # Windows held by a task before they are sorted and sent, and text bytes a hash range stands for.
 BLOCK = 3_000_000
 RANGE_BYTES = 8 << 20
-_SENT = pa.schema([("range", pa.int32()), ("doc_id", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("ids", pa.binary())])
-_COVERED = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
+_SENT = pa.schema([("range", pa.int32()), ("part", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("ids", pa.binary())])
+_COVERED = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary())])
+_DOCUMENT = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
 
 
-def _by_document(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    order = np.argsort(docs, kind="stable")
-    first, lengths = words.runs(docs[order])
-    return docs[order][first], words.binaries(hashes[order], lengths)
+def _by_part(hashes: np.ndarray, docs: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part of the documents: hashes and ids side by side, by document."""
+    part = (words.mix(docs.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    order = np.lexsort((docs, part))
+    first, lengths = words.runs(part[order])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[order][first], pa.int32()), words.binaries(hashes[order], lengths).cast(pa.binary()),
+         words.binaries(docs[order].astype(np.int64), lengths).cast(pa.binary())], schema=_COVERED)
 
 
-def _block(hashes: list[np.ndarray], docs: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBatch]:
+def _block(hashes: list[np.ndarray], docs: list[np.ndarray], ranges: int, parts: int) -> Iterator[pa.RecordBatch]:
     if not hashes:
         return
     h, d = np.concatenate(hashes), np.concatenate(docs)
@@ -42,11 +47,9 @@ def _block(hashes: list[np.ndarray], docs: list[np.ndarray], ranges: int) -> Ite
     least = np.minimum.reduceat(rank, first)
     later = rank > np.repeat(least, lengths)
     if later.any():
-        doc, packed = _by_document(h[later], ids[rank[later]])
-        n = len(doc)
-        where = (words.mix(doc.astype(np.uint64)) % np.uint64(ranges)).astype(np.int32)
-        nothing = pa.nulls(n, pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(doc), packed.cast(pa.binary()), nothing, nothing], schema=_SENT)
+        part, packed, docs_of = _by_part(h[later], ids[rank[later]], parts).columns
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part.to_numpy() % ranges, pa.int32()), part, packed, docs_of, pa.nulls(len(part), pa.binary())], schema=_SENT)
     h = h[first]
     # Ranges of the top 32 bits, so that any number of ranges is even.
     where = ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
@@ -60,7 +63,7 @@ def _block(hashes: list[np.ndarray], docs: list[np.ndarray], ranges: int) -> Ite
     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
 
 
-def _sender(width: int, ranges: int):
+def _sender(width: int, ranges: int, parts: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, docs, held = [], [], 0
         for batch in batches:
@@ -72,32 +75,42 @@ def _sender(width: int, ranges: int):
                     docs.append(ids[part.first + part.row[first]])
                     held += len(h)
                 if held >= BLOCK:
-                    yield from _block(hashes, docs, ranges)
+                    yield from _block(hashes, docs, ranges, parts)
                     hashes, docs, held = [], [], 0
-        yield from _block(hashes, docs, ranges)
+        yield from _block(hashes, docs, ranges, parts)
 
     return send
 
 
-def _settle(table: pa.Table) -> pa.Table:
-    """Of one hash range: for each document the hashes that a smaller document has as well."""
-    passed = table.filter(table["doc_id"].is_valid()).select(["doc_id", "hashes"])
-    blocks = table.filter(table["doc_id"].is_null())
-    hashes, docs = [], []
-    for h, d, ids in zip(*(blocks[c].to_pylist() for c in ("hashes", "docs", "ids"))):
-        hashes.append(words.unpack_sorted(h))
-        known = (words.unpack_sorted(ids) ^ np.uint64(1 << 63)).view(np.int64)
-        docs.append(known[np.frombuffer(d, np.uint16 if d[0] == 2 else np.uint32, offset=1)])
-    if not hashes:
-        return passed.cast(_COVERED)
-    h, d = np.concatenate(hashes), np.concatenate(docs)
-    order = np.argsort(h)
-    h, d = h[order], d[order]
-    first, lengths = words.runs(h)
-    later = d > np.repeat(np.minimum.reduceat(d, first), lengths)
-    doc, packed = _by_document(h[later], d[later])
-    mine = pa.Table.from_arrays([pa.array(doc, pa.int64()), packed.cast(pa.binary())], schema=_COVERED)
-    return pa.concat_tables([passed.cast(_COVERED), mine])
+def _settler(parts: int):
+    def settle(table: pa.Table) -> pa.Table:
+        """Of one hash range: for each document the hashes that a smaller document has as well."""
+        passed = table.filter(table["part"].is_valid()).select(_COVERED.names)
+        blocks = table.filter(table["part"].is_null())
+        hashes, docs = [], []
+        for h, d, ids in zip(*(blocks[c].to_pylist() for c in ("hashes", "docs", "ids"))):
+            hashes.append(words.unpack_sorted(h))
+            known = (words.unpack_sorted(ids) ^ np.uint64(1 << 63)).view(np.int64)
+            docs.append(known[np.frombuffer(d, np.uint16 if d[0] == 2 else np.uint32, offset=1)])
+        if not hashes:
+            return passed.cast(_COVERED)
+        h, d = np.concatenate(hashes), np.concatenate(docs)
+        order = np.argsort(h)
+        h, d = h[order], d[order]
+        first, lengths = words.runs(h)
+        later = d > np.repeat(np.minimum.reduceat(d, first), lengths)
+        return pa.concat_tables([passed.cast(_COVERED), pa.Table.from_batches([_by_part(h[later], d[later], parts)])])
+
+    return settle
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """Of one part of the documents: one row each, with all its covered hashes."""
+    h = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.uint64)
+    d = np.frombuffer(b"".join(table["docs"].to_pylist()), np.int64)
+    order = np.argsort(d)
+    first, lengths = words.runs(d[order])
+    return pa.Table.from_arrays([pa.array(d[order][first], pa.int64()), words.binaries(h[order], lengths).cast(pa.binary())], schema=_DOCUMENT)
 
 
 def _remover(width: int):
@@ -117,7 +130,7 @@ def _remover(width: int):
                             hashed, begin = part.word_hashes(), np.concatenate([[0], np.cumsum(part.counts)])
                         own = hashed[begin[i]:begin[i + 1]]
                         h, first = words.window_hashes(own, np.zeros(len(own), np.int8), width)
-                        hit = first[np.isin(h, np.frombuffer(b"".join(known), np.uint64))]
+                        hit = first[np.isin(h, np.frombuffer(known, np.uint64))]
                         if len(hit):
                             cut = np.flatnonzero(hit[1:] > hit[:-1] + width)
                             lo, hi = hit[np.concatenate([[0], cut + 1])], hit[np.concatenate([cut, [-1]])] + width
@@ -146,10 +159,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     base = tables.texts(docs, id_col, text_col)
     ranges = max(4, -(-tables.text_bytes(base) // RANGE_BYTES))
+    parts = max(4, ranges // 4)
     sent = base.where("doc_id is not null").mapInArrow(
-        _sender(width, ranges), "range int, doc_id bigint, hashes binary, docs binary, ids binary")
-    covered = sent.repartition(ranges, "range").groupBy("range").applyInArrow(_settle, "doc_id bigint, hashes binary")
-    per_doc = covered.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
+        _sender(width, ranges, parts), "range int, part int, hashes binary, docs binary, ids binary")
+    covered = sent.repartition(ranges, "range").groupBy("range").applyInArrow(
+        _settler(parts), "part int, hashes binary, docs binary")
+    per_doc = covered.repartition(parts, "part").groupBy("part").applyInArrow(_gather, "doc_id bigint, hashes binary")
     joined = base.join(per_doc.hint("merge"), "doc_id", "left").select("doc_id", "text", "hashes")
     return joined.mapInArrow(
         _remover(width), "doc_id bigint, n_words bigint, removed array<struct<start:bigint,end:bigint>>, kept_text string")
