@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, tables
+from shelfwise.llm import language_model, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,25 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score", "perplexity")
+
+
+@query
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.secret_scan(tables.documents(spark, folder))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id", *(count(r.kind).alias(f"n_{r.kind}") for r in secret_scan.BASE),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    scores = token_counts.zipf_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(tables.documents(spark, folder), scores)
+
+
+@query
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = token_files.write_token_files(tables.documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(spark, path)

@@ -151,3 +151,29 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     whole = np.zeros((len(parts), 8), np.uint8)
     whole[:, : raw[0]] = parts
     return np.cumsum(whole.view("<u8").ravel(), dtype=_U)
+
+
+def distinct(parts: list[Slice]) -> tuple[list[bytes], np.ndarray]:
+    """The different words of some slices, and for every occurrence, slice after slice, which one it is."""
+    hashes = np.concatenate([p.word_hashes() for p in parts])
+    _, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum([len(p.starts) for p in parts])])
+    which = np.searchsorted(begin, first, side="right") - 1
+    found = []
+    for p, k in zip(which.tolist(), (first - begin[which]).tolist()):
+        part = parts[p]
+        found.append(part.data[part.starts[k]:part.ends[k]].tobytes())
+    return found, index
+
+
+def groups(column: pa.Array, limit: int) -> Iterator[list[Slice]]:
+    """Consecutive slices of about ``limit`` bytes together."""
+    held, size = [], 0
+    for part in slices(column):
+        held.append(part)
+        size += len(part.data)
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
