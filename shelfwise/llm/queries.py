@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import language_model, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,11 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = token_files.write_token_files(tables.documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read_token_files(spark, path)
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(tables.documents(spark, folder)).drop(*quality.FENCES)
+
+
+ORACLES["op7_quality"] = quality.SQL
