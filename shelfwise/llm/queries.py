@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import language_model, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op7_quality"] = quality.SQL
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(tables.documents(spark, folder))

@@ -177,3 +177,18 @@ def groups(column: pa.Array, limit: int) -> Iterator[list[Slice]]:
             held, size = [], 0
     if held:
         yield held
+
+
+def shingle_hashes(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word shingles of each row, in row order, and their rows; a shorter row is one shingle."""
+    own = part.word_hashes()
+    found, first = window_hashes(own, part.row, width)
+    row = part.row[first]
+    short = np.flatnonzero((part.counts > 0) & (part.counts < width))
+    if len(short):
+        begin = (np.cumsum(part.counts) - part.counts)[short]
+        found = np.concatenate([found, _ranges_hash(own, begin, begin + part.counts[short], _IN_WINDOW)])
+        row = np.concatenate([row, short])
+        order = np.argsort(row, kind="stable")
+        found, row = found[order], row[order]
+    return found, row
