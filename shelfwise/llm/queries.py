@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, near_duplicates, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import language_model, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,10 @@ ORACLES["op7_quality"] = quality.SQL
 @query
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(tables.documents(spark, folder))
+
+
+@query
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    source = F.col("sources")[0]
+    return mixing.mix(tables.documents(spark, folder)).select(
+        "doc_id", "size", source["size"].alias("source_size"), source["target"].alias("target"), "taken")
