@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import language_model, license_scan, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     source = F.col("sources")[0]
     return mixing.mix(tables.documents(spark, folder)).select(
         "doc_id", "size", source["size"].alias("source_size"), source["target"].alias("target"), "taken")
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = tables.documents(spark, folder)
+    found = license_scan.license_scan(docs, license_scan.fit(docs))
+    return found.select("doc_id", "family", F.size("licenses").cast("bigint").alias("n_statements"), "licenses")
