@@ -253,10 +253,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = links.join(classes, "node", "left").select("node", "links", F.coalesce("label", "node").alias("label"))
 
     copied = nodes.where("copies > 1").select("key", F.col("node").alias("_first"), "copies")
-    placed = spread_join(keyed.select("doc_id", "key"), copied, ["key"], ["doc_id"], "left", COPY_WAYS)
+    # Both lookups grow with the input: they are merged, never broadcast.
+    placed = spread_join(keyed.select("doc_id", "key"), copied.hint("merge"), ["key"], ["doc_id"], "left", COPY_WAYS)
     node = F.when(F.col("doc_id").isNotNull(), F.coalesce("_first", "doc_id"))
     placed = placed.select("doc_id", node.alias("node"), (F.coalesce("copies", F.lit(1)) - 1).alias("_others"))
-    result = spread_join(placed, found, ["node"], ["doc_id"], "left", COPY_WAYS)
+    result = spread_join(placed, found.hint("merge"), ["node"], ["doc_id"], "left", COPY_WAYS)
     return result.select(
         "doc_id", F.col("node").alias("copy_of"), F.coalesce("label", "node").alias("class_id"),
         F.when(F.col("doc_id").isNotNull(), F.col("_others") + F.coalesce("links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"))

@@ -46,7 +46,7 @@ def _counts(docs: DataFrame) -> DataFrame:
         "*", F.sort_array(F.expr(f"transform(_t, x -> {at.format('x')})")).alias("_p"))
     covered = F.expr("""aggregate(_p, named_struct('n', 0L, 'to', 0),
         (a, p) -> named_struct('n', a.n + p + 3 - greatest(p, a.to), 'to', p + 3)).n""")
-    return found.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
+    return found.select("doc_id", "text_key", "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                         covered.alias("n_repeat_words"))
 
 
@@ -94,7 +94,7 @@ def fences(measured: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Per row ``doc_id``, the base counts, ``base_failed`` and ``kept``.
+    """Per row ``doc_id``, the base counts, ``base_failed``, ``kept``, the features and a ``text_key``.
 
     A row fails the base rules with fewer than 50 words, or with more than half of its words in three-word windows
     that the text repeats. Of the others, those within all fences of their group are kept: of their language and
@@ -104,7 +104,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """
     tagged = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-"))
     base = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-                       tagged(lang_col).alias("lang"), tagged(source_col).alias("source"))
+                       tagged(lang_col).alias("lang"), tagged(source_col).alias("source"), tables.text_key(text_col).alias("text_key"))
     measured = tables.stage(_counts(base).withColumns(_features()), "quality")
     limits = fences(measured)
     # One row per pair of language and source, each with the fences that judge it.
@@ -121,7 +121,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     for f in FENCES:
         within &= F.col(f).between(F.col("low")[f], F.col("high")[f])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         failed.alias("base_failed"), F.coalesce(~failed & within, F.lit(False)).alias("kept"), *FENCES)
+                         failed.alias("base_failed"), F.coalesce(~failed & within, F.lit(False)).alias("kept"), *FENCES, "text_key")
 
 
 SQL = """

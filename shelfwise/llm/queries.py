@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, license_scan, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import decontamination, language_model, license_scan, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,7 +61,7 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality(tables.documents(spark, folder)).drop(*quality.FENCES)
+    return quality.quality(tables.documents(spark, folder)).drop(*quality.FENCES, "text_key")
 
 
 ORACLES["op7_quality"] = quality.SQL
@@ -84,3 +84,8 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = tables.documents(spark, folder)
     found = license_scan.license_scan(docs, license_scan.fit(docs))
     return found.select("doc_id", "family", F.size("licenses").cast("bigint").alias("n_statements"), "licenses")
+
+
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontaminate(tables.documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")).drop("text_key")
