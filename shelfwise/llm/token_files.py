@@ -14,6 +14,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.llm import huffman, tables, words
 
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 8 << 20
 BLOCK_IDS = 1 << 20
 RANGE_BYTES = 16 << 20
 EVERY = 256
-KEPT_WORDS = 200_000
+KEPT_WORDS = 600_000
 _RAW = "part int, seq int, docs binary, sizes binary, ids binary, counts binary"
 _RAW_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("docs", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary())])
 _BLOCK = "part int, seq int, n_ids bigint, docs binary, sizes binary, checkpoints binary, bits binary"
@@ -55,16 +56,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.by_word = _by_word(json.loads(spec))
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
+            ids = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.kind).tobytes()
         return ids
 
     def learn(self, found: list[bytes]) -> None:
@@ -82,8 +83,7 @@ class Encoder:
             if w in self.words:
                 continue
             if w.isascii() and b"<|" not in w and w.decode().isprintable():
-                ids = [i for p in _PLAIN.findall(w.decode().lower()) for i in self._piece(p)]
-                self.words[w] = np.array(ids, self.kind).tobytes()
+                self.words[w] = b"".join(map(self._piece, _PLAIN.findall(w.decode().lower())))
             else:
                 others.append(w)
         for w, ids in zip(others, self.whole([w.decode("utf-8", "replace") for w in others])):
@@ -113,9 +113,15 @@ class Encoder:
         return out, sizes
 
 
+@lru_cache(maxsize=1)
+def _remembering(spec: str) -> Encoder:
+    """One encoder per Python worker: what it has learned serves all tasks that the worker runs."""
+    return Encoder(spec)
+
+
 def _encoder(spec, end: int, vocabulary: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = Encoder(spec.value), TaskContext.get().partitionId(), 0
+        encoder, part, seq = _remembering(spec.value), TaskContext.get().partitionId(), 0
         counts = np.zeros(vocabulary, np.int64)
         held: list[tuple] = []
         size = 0
