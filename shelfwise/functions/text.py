@@ -136,14 +136,14 @@ def store_label(store_id: Column, name: Column, city: Column) -> Column:
 def barcode_candidates(c: Column) -> Column:
     """Codes to try for a scan, best first."""
     code = digits(F.coalesce(c, F.lit("")))
-    tail = F.substring(code, 7, 64)
+    tail = F.substr(code, F.lit(7))
     internal = code.startswith("729000") & (F.length(code) > 6)
     bare = F.regexp_replace(tail, "^0+", "")
     tries = F.array(
         code,
         F.when(internal, tail),
         F.when(internal, blank_to_null(bare)),
-        F.when((F.length(code) == 13) & code.startswith("0"), F.substring(code, 2, 64)),
+        F.when((F.length(code) == 13) & code.startswith("0"), F.substr(code, F.lit(2))),
     )
     return F.array_distinct(F.filter(tries, lambda t: t.isNotNull() & (t != "")))
 
@@ -151,7 +151,7 @@ def barcode_candidates(c: Column) -> Column:
 def barcode_variants(c: Column) -> Column:
     """A barcode with and without the internal prefix, as given first."""
     internal = c.startswith("729000") & (F.length(c) > 6)
-    other = F.when(internal, F.substring(c, 7, 64)).otherwise(F.concat(F.lit("729000"), c))
+    other = F.when(internal, F.substr(c, F.lit(7))).otherwise(F.concat(F.lit("729000"), c))
     return F.array(c, other)
 
 

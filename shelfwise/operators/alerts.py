@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions import money
 from shelfwise.operators.catalog import resolve_scans
 from shelfwise.operators.offers import READ_TERMS
 from shelfwise.operators.prices import ITEM_KEY
-from shelfwise.operators.spread import lookup_join
+from shelfwise.operators.numbering import number_rows
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join
 
 # Fixed value: an offer without an end.
 OPEN_END = "9999-12-31"
@@ -94,14 +98,34 @@ def commit_delivered(alerts: DataFrame, ledger: DataFrame, alerts_path: str, led
     """Write the alerts of a run, and only then the ledger that records them.
 
     Both go to folders named by the run, so a repeated run replaces its own
-    output and a failed one leaves the earlier ledger in force.
+    output; the mark that puts the ledger in force is written last, so a failed
+    run leaves the earlier one in force (see :func:`current_ledger`).
     """
     alerts.write.mode("overwrite").parquet(f"{alerts_path}/run={run}")
     ledger.write.mode("overwrite").parquet(f"{ledger_path}/run={run}")
+    mark = ledger.sparkSession.createDataFrame([(run, time.time_ns())], "run string, at bigint")
+    mark.coalesce(1).write.mode("append").json(f"{ledger_path}/committed")
+
+
+def current_ledger(spark: SparkSession, ledger_path: str, schema: str) -> DataFrame:
+    """The ledger in force: that of the last run whose commit was recorded; empty before the first."""
+    try:
+        runs = spark.read.schema("run string, at bigint").json(f"{ledger_path}/committed")
+        last = runs.orderBy(F.desc("at")).first()
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{ledger_path}/run={last['run']}")
 
 
-def display_order(alerts: DataFrame) -> DataFrame:
-    """Chain with the cheapest offer first, then by unit price."""
+def display_order(alerts: DataFrame, tie: list[str]) -> DataFrame:
+    """Add ``position``: chain with the cheapest offer first, then by unit price, barcode and ``tie``.
+
+    The order is a column, so that it outlives joins and writes. ``tie`` makes rows of one barcode different.
+    """
     least = alerts.groupBy("chain_id").agg(F.min("unit_agorot").alias("_least"))
-    return lookup_join(alerts, least, ["chain_id"], ["barcode"], "inner").orderBy(
-        "_least", "chain_id", "unit_agorot", "barcode").drop("_least")
+    ranked = lookup_join(alerts, least, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
+    return number_rows(ranked, [], ["_least", "chain_id", "unit_agorot", "barcode", *tie], "position").drop("_least")

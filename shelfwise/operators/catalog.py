@@ -140,10 +140,13 @@ def store_pairs(values: DataFrame) -> DataFrame:
 
 
 def exceptions_for(exc: DataFrame, pairs: DataFrame | None) -> DataFrame:
-    """Exceptions at the wanted stores; no pairs means all of them."""
+    """Exceptions at the wanted stores; no valid pair means all of them."""
     if pairs is None:
         return exc
-    return exists_join(exc, pairs, ["chain_id", "store_id"], ["barcode"])
+    wanted = pairs.select("chain_id", "store_id").distinct()
+    none = wanted.agg((F.count(F.lit(1)) == 0).alias("none")).scalar()
+    marked = lookup_join(exc, wanted.withColumn("_asked", F.lit(True)), ["chain_id", "store_id"], ["barcode"])
+    return marked.filter(F.col("_asked").isNotNull() | none).drop("_asked").select(*exc.columns)
 
 
 def price_documents(products: DataFrame, base: DataFrame) -> DataFrame:
@@ -182,21 +185,12 @@ def product_lookup(requests: DataFrame, products: DataFrame, base: DataFrame, ex
     }
 
 
-PART_STORES = 10_000
+def detail_documents(exc: DataFrame) -> DataFrame:
+    """Store prices of every item, a row per store at any number of stores.
 
-
-def detail_documents(exc: DataFrame, part_stores: int = PART_STORES) -> DataFrame:
-    """Store prices per item as ``[store, price]`` lists.
-
-    An item with more stores than ``part_stores`` is written as several parts
-    of about that size, so no list grows without bound.
+    Only the shard writer puts them into lists, within its byte budget.
     """
-    sizes = exc.groupBy(*ITEM_KEY).agg(F.count(F.lit(1)).alias("_n"))
-    sized = lookup_join(exc, sizes, ITEM_KEY, ["store_id"], "inner")
-    parts = F.ceil(F.col("_n") / part_stores)
-    part = F.pmod(F.xxhash64("store_id"), parts).cast("int")
-    pair = F.struct(F.col("store_id"), money.to_shekels(F.col("agorot")).alias("price"))
-    return sized.groupBy(*ITEM_KEY, part.alias("part")).agg(F.sort_array(F.collect_list(pair)).alias("prices"))
+    return exc.select(*ITEM_KEY, "store_id", money.to_shekels(F.col("agorot")).alias("price"))
 
 
 def meta_summary(products: DataFrame, deals: DataFrame, chains: DataFrame, stores: DataFrame) -> DataFrame:

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import text
-from shelfwise.operators.spread import lookup_join
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, min_by_order
 
 # Fixed value: the length some exports cut names to.
 CAPPED_LENGTH = 20
 
 
+def one_per_chain(names: DataFrame) -> DataFrame:
+    """One row per chain and barcode, that of the least store: a chain votes once, however many stores it has."""
+    values = [c for c in names.columns if c not in ("chain_id", "barcode", "store_id")]
+    return min_by_order(names, ["chain_id", "barcode"], [F.col("store_id")], ["store_id", *values])
+
+
 def capping_chains(names: DataFrame) -> DataFrame:
     """Longest name of each chain, and whether it is exactly the cap."""
     named = names.filter(F.coalesce("name", F.lit("")) != "")
@@ -23,7 +29,7 @@ def candidates(names: DataFrame, barcodes: DataFrame | None = None) -> DataFrame
     named = names.filter(F.coalesce("name", F.lit("")) != "")
     if barcodes is not None:
         named = lookup_join(named, barcodes.select("barcode").distinct(), ["barcode"], ["name"], "left_semi")
-    marked = lookup_join(named, capping_chains(names).select("chain_id", "capped"), ["chain_id"], ["barcode"], "inner")
+    marked = lookup_join(named, capping_chains(names).select("chain_id", "capped"), ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
     return marked.withColumn("name", text.unescape_name(F.col("name")))
 
 

@@ -74,7 +74,7 @@ def fill_by_address(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     ``ours``: branch_uid, address, city; ``theirs``: id, address, city, lat,
     lon. Only one-to-one matches count; both sides are reduced to one row per
     key before they meet. ``status`` is accepted (same city), review, or
-    ambiguous (several on a side; no ids given).
+    ambiguous (several on a side; see :func:`ambiguous_addresses`).
     """
     named = ours.filter(text.has_address(F.col("address")))
     left = named.select(text.address_key(F.col("address")).alias("key"), "branch_uid",
@@ -93,6 +93,17 @@ def fill_by_address(ours: DataFrame, theirs: DataFrame) -> DataFrame:
         single("their.city").alias("city"), single("their.lat").alias("lat"), single("their.lon").alias("lon"))
 
 
+def ambiguous_addresses(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Keys with several rows on a side, one row per (``key``, ``side``, ``id``), for review."""
+    named = ours.filter(text.has_address(F.col("address")))
+    both = named.select(text.address_key(F.col("address")).alias("key"), F.lit("ours").alias("side"), F.col("branch_uid").alias("id")).unionByName(
+        theirs.select(text.address_key(F.col("address"), F.col("city")).alias("key"), F.lit("theirs").alias("side"), "id")).filter("key <> ''")
+    mine = F.count_if(F.col("side") == "ours")
+    several = both.groupBy("key").agg(mine.alias("our_rows"), F.count_if(F.col("side") == "theirs").alias("their_rows")).filter(
+        "our_rows > 0 and their_rows > 0 and our_rows + their_rows > 2").select("key")
+    return lookup_join(both, several, ["key"], ["id"], "left_semi")
+
+
 def nearest_reference_km(points: DataFrame, refs: DataFrame, cell_size: float = 0.02) -> DataFrame:
     """Add ``km`` to the nearest reference point of the same ``city``; null if none.
 

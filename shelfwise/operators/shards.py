@@ -100,8 +100,8 @@ def name_rows(docs: DataFrame, term_rows: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str) -> None:
-    """JSON lines by shard; a shard is bounded by its budget, so one file each."""
-    docs.repartition("shard").write.mode("overwrite").partitionBy("shard").json(path)
+    """JSON lines by shard; a shard is bounded by its budget, so one file each. Shards of an earlier write go."""
+    docs.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("shard").json(path)
 
 
 def shard_index(shards: DataFrame, levels: tuple[int, ...], built_at: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from shelfwise.operators import offers as offer_ops
 from shelfwise.operators import prices as price_ops
 from shelfwise.operators import search as search_ops
-from shelfwise.operators.spread import lookup_join, widen
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, widen
 
 TODAY = "1998-06-01"
 ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "agorot"]
@@ -172,7 +172,8 @@ class Bridge:
     def deal_key_sample(self) -> DataFrame:
         """Keys spread like those of deals: every part once, chains in turn."""
         part, region = self.table("part").select("p_partkey"), self.table("region")
-        paired = part.join(F.broadcast(region), F.expr("p_partkey % 5 = r_regionkey"))
+        paired = lookup_join(
+            part.withColumn("r_regionkey", F.expr("p_partkey % 5")), region, ["r_regionkey"], ["p_partkey"], "inner", FEW_KEYS_WAYS)
         zero = F.lit(0)
         return paired.select(
             F.col("r_name").alias("chain_id"), ean("p_partkey").alias("barcode"), zero.alias("club"), zero.alias("coupon"),

@@ -98,7 +98,8 @@ def stage_writer(spark: SparkSession, root: str, run: str):
             df = df.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
         elif order:
             df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-        writer = df.write.mode("overwrite")
+        # A run written again replaces all of its folders, also those of chains that are gone.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*parts) if parts else writer).parquet(path)
         back = spark.read.schema(df.schema).parquet(path)
         return back.select(*df.columns)

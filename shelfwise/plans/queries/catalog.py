@@ -176,6 +176,12 @@ def exceptions_at_asked_stores(b: Bridge):
     return catalog.exceptions_for(b.prices()[2], catalog.store_pairs(asked))
 
 
+@query("exceptions_without_valid_pair", "SELECT * FROM exc", ("exc",))
+def exceptions_without_valid_pair(b: Bridge):
+    asked = b.suppliers().select(F.concat(F.lit(":"), "store_id").alias("value"))
+    return catalog.exceptions_for(b.prices()[2], catalog.store_pairs(asked))
+
+
 @query("price_documents", """
     , p AS (SELECT barcode, string_agg(chain_id || '=' || agorot || '/' || store_count, ',' ORDER BY chain_id) AS prices
             FROM base GROUP BY barcode)
@@ -191,13 +197,10 @@ def price_documents(b: Bridge):
 
 
 @query("detail_documents", """
-    SELECT chain_id, barcode, string_agg(store_id || '=' || agorot, ',' ORDER BY store_id) AS prices FROM exc GROUP BY ALL""",
-       ("exc",))
+    SELECT chain_id, barcode, store_id, agorot FROM exc""", ("exc",))
 def detail_documents(b: Bridge):
     docs = catalog.detail_documents(b.prices()[2])
-    entries = F.transform("prices", lambda e: F.concat(
-        e["store_id"], F.lit("="), (e["price"] * 100).cast("bigint").cast("string")))
-    return docs.select("chain_id", "barcode", F.array_join(entries, ",").alias("prices"))
+    return docs.select("chain_id", "barcode", "store_id", (F.col("price") * 100).cast("bigint").alias("agorot"))
 
 
 @query("batch_product_lookup", """
@@ -207,10 +210,10 @@ def detail_documents(b: Bridge):
            coalesce(CASE WHEN k THEN (SELECT count(*) FROM kept x WHERE x.barcode = r.barcode) END, 0) AS offers
     FROM (SELECT CASE WHEN p_size % 2 = 0 THEN barcode ELSE 'x' || substr(barcode, 3) END AS raw, p_size % 2 = 0 AS k,
                  barcode, name FROM part JOIN products ON barcode = '729' || reverse(lpad(CAST(p_partkey AS VARCHAR), 9, '0'))
-          WHERE p_size < 11) r""", ("products", "base", "exc", "kept"))
+          ) r""", ("products", "base", "exc", "kept"))
 def batch_product_lookup(b: Bridge):
     code = ean("p_partkey")
-    asked = b.table("part").filter("p_size < 11").select(
+    asked = b.table("part").select(
         F.when(F.col("p_size") % 2 == 0, code).otherwise(F.concat(F.lit("x"), F.substring(code, 3, 20))).alias("raw"))
     _, base, exc = b.prices()
     kept, links, everywhere = b.kept()
@@ -218,7 +221,7 @@ def batch_product_lookup(b: Bridge):
     entries = offers.promotion_entries(kept, modes, offers.branch_listing(links, everywhere, modes), TODAY)
     found = catalog.product_lookup(asked, b.products(), base, exc, entries)
     many = lambda name, n: found[name].groupBy("raw").agg(n.cast("bigint").alias(name if name != "detail" else "exceptions"))
-    rows = found["documents"].join(many("detail", F.sum(F.size("prices"))), "raw", "left").join(
+    rows = found["documents"].join(many("detail", F.count(F.lit(1))), "raw", "left").join(
         many("offers", F.count(F.lit(1))), "raw", "left")
     none = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     return rows.select("raw", "barcode", F.col("doc.n").alias("name"), none(F.size(F.map_keys("doc.p"))).alias("chains"),
@@ -253,12 +256,13 @@ def store_labels(b: Bridge):
 
 
 NAMES = """
-    , raw AS (SELECT o.chain_id, o.store_id, o.barcode, CASE o.chain_id
+    , every AS (SELECT o.chain_id, o.store_id, o.barcode, CASE o.chain_id
           WHEN 'ASIA' THEN substr(p.name || ' ..................', 1, 20)
           WHEN 'EUROPE' THEN '"' || replace(p.name, ' ', ' ""') || '"'
           ELSE p.name || CASE WHEN o.agorot % 3 = 0 THEN ' x' ELSE '' END END AS name,
           CASE WHEN o.agorot % 2 = 0 THEN p.manufacturer ELSE '' END AS manufacturer
         FROM latest o JOIN products p USING (barcode)),
+    raw AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY chain_id, barcode ORDER BY store_id) = 1),
     rows AS (SELECT barcode, chain_id, CASE chain_id WHEN 'EUROPE' THEN replace(trim(name, '"'), '""', '"') ELSE trim(name) END AS name,
           manufacturer, CASE chain_id WHEN 'ASIA' THEN 1 ELSE 0 END AS capped FROM raw)"""
 
@@ -270,7 +274,8 @@ def _names(b: Bridge):
             .when(F.col("chain_id") == "EUROPE", F.concat(F.lit('"'), F.replace(p, F.lit(" "), F.lit(' ""')), F.lit('"')))
             .otherwise(F.concat(p, F.when(F.col("agorot") % 3 == 0, " x").otherwise(""))))
     maker = F.when(F.col("agorot") % 2 == 0, F.col("manufacturer")).otherwise("")
-    return named.select("chain_id", "store_id", "barcode", name.alias("name"), maker.alias("manufacturer"))
+    every = named.select("chain_id", "store_id", "barcode", name.alias("name"), maker.alias("manufacturer"))
+    return names.one_per_chain(every)
 
 
 @query("name_capping_chains", NAMES + """

@@ -126,13 +126,26 @@ def address_rule_counts(b: Bridge):
         CASE WHEN our_rows = 1 AND their_rows = 1 THEN CAST(s AS VARCHAR) END AS their_id
     FROM o JOIN t USING (key)""", ("stores",))
 def address_fill(b: Bridge):
+    return places.fill_by_address(*_address_sides(b)).select("key", "our_rows", "their_rows", "status", "branch_uid", "their_id")
+
+
+def _address_sides(b: Bridge):
     c = b.table("customer").join(b.table("nation"), F.expr("c_nationkey = n_nationkey"))
     number = (F.col("c_custkey") % 400).cast("string")
     address = F.when(F.col("c_custkey") % 7 == 0, " Unknown ").when(
         F.col("c_custkey") % 2 == 0, F.concat(F.lit("רחוב הר״צל"), number)).otherwise(F.concat(F.lit("הרצל  "), number, F.lit(".")))
     ours = c.select(F.col("c_custkey").cast("string").alias("branch_uid"), address.alias("address"), F.col("n_name").alias("city"))
     theirs = b.stores().select(F.col("store_id").alias("id"), "address", "city", "lat", "lon")
-    return places.fill_by_address(ours, theirs).select("key", "our_rows", "their_rows", "status", "branch_uid", "their_id")
+    return ours, theirs
+
+
+@query("ambiguous_address_ids", """
+    , sides AS (SELECT 'הרצל ' || CAST(c_custkey % 400 AS VARCHAR) AS key, 'ours' AS side, CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 7 <> 0
+        UNION ALL SELECT 'הרצל ' || CAST(s_suppkey % 60 AS VARCHAR), 'theirs', CAST(s_suppkey AS VARCHAR) FROM supplier)
+    SELECT * FROM sides QUALIFY count(*) FILTER (side = 'ours') OVER (PARTITION BY key) > 0 AND count(*) FILTER (side = 'theirs') OVER (PARTITION BY key) > 0
+        AND count(*) OVER (PARTITION BY key) > 2""", ("stores",))
+def ambiguous_address_ids(b: Bridge):
+    return places.ambiguous_addresses(*_address_sides(b))
 
 
 @query("location_passes", BRANCHES + """
@@ -280,10 +293,9 @@ def ledger_after_sweep(b: Bridge):
 
 
 @query("alert_display_order", """
-    SELECT chain_id, barcode, unit_agorot, min(unit_agorot) OVER (PARTITION BY chain_id) AS chain_least FROM kept""", ("kept",))
+    SELECT chain_id, barcode, unit_agorot, row_number() OVER (ORDER BY least, chain_id, unit_agorot, barcode, club, coupon, qty_milli) AS position
+    FROM (SELECT *, min(unit_agorot) OVER (PARTITION BY chain_id) AS least FROM kept)""", ("kept",))
 def alert_display_order(b: Bridge):
-    rows = b.kept()[0]
-    ordered = alerts.display_order(rows)
-    least = rows.groupBy("chain_id").agg(F.min("unit_agorot").alias("chain_least"))
-    return ordered.join(F.broadcast(least), "chain_id").select("chain_id", "barcode", "unit_agorot", "chain_least")
+    ordered = alerts.display_order(b.kept()[0], ["club", "coupon", "min_qty"])
+    return ordered.select("chain_id", "barcode", "unit_agorot", "position")
 

@@ -5,23 +5,27 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+
 
 def build_session(app: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are written for.
 
-    Nothing here is required for right results; on a cluster the submit-time
-    configuration wins because only unset options are filled in by callers.
+    Nothing here but the time zone is required for right results. What was set
+    at submit time stays; only what ``conf`` names is set in any case.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    )
+    builder, submitted = SparkSession.builder.appName(app), SparkConf()
+    for key, value in DEFAULTS.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

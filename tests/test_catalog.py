@@ -3,6 +3,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from shelfwise.functions import text as text_functions
 from shelfwise.operators import alerts, catalog, categories, names, places, quality, search, shards
 from tests.conftest import rows
 
@@ -45,11 +46,30 @@ def test_scans_and_pairs(spark):
     assert rows(catalog.store_pairs(pairs)) == [("a", "1"), ("b", "2")]
 
 
-def test_detail_documents_split_large_lists_without_loss(spark):
+def test_detail_documents_have_one_shape_at_any_size(spark):
     exc = spark.range(1000).select(F.lit("A").alias("chain_id"), F.col("id").cast("string").alias("store_id"), F.lit("X").alias("barcode"), F.lit(100).alias("agorot"))
-    parts = catalog.detail_documents(exc, part_stores=100)
-    assert parts.count() == 10
-    assert {s.store_id for r in parts.collect() for s in r.prices} == {str(i) for i in range(1000)}
+    found = catalog.detail_documents(exc).collect()
+    assert sorted(r.store_id for r in found) == sorted(str(i) for i in range(1000)) and {float(r.price) for r in found} == {1.0}
+
+
+def test_store_filter_without_a_valid_pair_is_no_filter(spark):
+    exc = spark.createDataFrame([("A", "1", "x", 5), ("B", "2", "y", 6)], "chain_id string, store_id string, barcode string, agorot bigint")
+    pairs = lambda text: catalog.store_pairs(spark.createDataFrame([(text,)], "value string"))
+    assert rows(catalog.exceptions_for(exc, pairs(":1,junk"))) == rows(exc)
+    assert rows(catalog.exceptions_for(exc, pairs("A:1"))) == [("A", "1", "x", 5)]
+
+
+def test_codes_are_never_cut(spark):
+    long = "729000" + "0" * 3 + "7" * 90
+    tries = spark.createDataFrame([(long,)], "c string").select(text_functions.barcode_candidates(F.col("c")).alias("t")).first().t
+    assert tries == [long, long[6:], "7" * 90]
+
+
+def test_a_chain_votes_once(spark):
+    seen = [("big", str(s), "1", "wrong") for s in range(5)] + [("a", "1", "1", "right"), ("b", "1", "1", "right")]
+    data = spark.createDataFrame([(*r, "") for r in seen], "chain_id string, store_id string, barcode string, name string, manufacturer string")
+    found = names.candidates(names.one_per_chain(data))
+    assert rows(names.propose(found, data.filter("false")), "name", "votes") == [("right", 2)]
 
 
 def test_disagreements_do_not_replace_claims(spark):
@@ -180,3 +200,30 @@ def test_address_fill_is_one_to_one(spark):
                                    "id string, address string, city string, lat double, lon double")
     assert rows(places.fill_by_address(ours, theirs), "status", "branch_uid", "their_id") == [
         ("accepted", "u1", "t1"), ("ambiguous", None, None), ("review", "u2", "t2")]
+    assert rows(places.ambiguous_addresses(ours, theirs), "side", "id") == [("ours", "u3"), ("ours", "u4"), ("theirs", "t3")]
+
+
+def test_ledger_in_force_is_the_last_committed(spark, tmp_path):
+    schema = "chain_id string, last_seen int"
+    path = str(tmp_path / "ledger")
+    ledger = lambda *r: spark.createDataFrame(list(r), schema)
+    assert rows(alerts.current_ledger(spark, path, schema)) == []
+    alerts.commit_delivered(ledger(("A", 1)), ledger(("A", 1)), str(tmp_path / "alerts"), path, "r1")
+    ledger(("B", 2)).write.parquet(f"{path}/run=r2")  # written, but the run ended before its mark
+    assert rows(alerts.current_ledger(spark, path, schema)) == [("A", 1)]
+    alerts.commit_delivered(ledger(("C", 3)), ledger(("C", 3)), str(tmp_path / "alerts"), path, "r3")
+    assert rows(alerts.current_ledger(spark, path, schema)) == [("C", 3)]
+
+
+def test_shards_of_an_earlier_write_go(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    docs = lambda *names: spark.createDataFrame([(n, "{}") for n in names], "shard string, doc string")
+    shards.write_shards(docs("728", "729"), path)
+    shards.write_shards(docs("728"), path)
+    assert rows(spark.read.json(path), "shard") == [(728,)]
+
+
+def test_display_order_is_a_column(spark):
+    data = spark.createDataFrame([("A", "2", 5, 0), ("A", "1", 9, 0), ("B", "1", 4, 1), ("B", "1", 4, 0)], "chain_id string, barcode string, unit_agorot bigint, club int")
+    got = alerts.display_order(data, ["club"]).orderBy("position").collect()
+    assert [(r.chain_id, r.barcode, r.club, r.position) for r in got] == [("B", "1", 0, 1), ("B", "1", 1, 2), ("A", "2", 0, 3), ("A", "1", 0, 4)]
