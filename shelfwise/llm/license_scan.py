@@ -148,9 +148,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
 
 
 def _trigger(model: Classifier) -> str:
-    """Matches every line that has a feature, since each feature has a word that is one."""
-    words = sorted(re.sub(r"([^a-z0-9])", r"\\\1", w) for w in model.weights if " " not in w)
-    return "(?i)(?:" + "|".join(words) + ")"
+    """Matches every lower-case line that has a feature, since each feature has a word that is one.
+
+    Words stand between characters that belong to no word; they are grouped by their first letter.
+    """
+    groups: dict[str, list[str]] = {}
+    for w in sorted(w for w in model.weights if " " not in w):
+        groups.setdefault(w[0], []).append(re.sub(r"([^a-z0-9])", r"\\\1", w[1:]))
+    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in groups.items()) + ")(?![a-z0-9])"
 
 
 def license_scan(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,8 +172,8 @@ def license_scan(docs: DataFrame, model: Classifier, id_col: str = "doc_id", tex
     base = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     base = base.withColumn("_h", F.xxhash64("_text"))
     # Most texts hold no trigger at all; only the others are cut into lines, and equal rows once.
-    cut = base.where(F.col("_text").rlike(trigger)).select("doc_id", "_h", F.posexplode(F.split("_text", "\n")).alias("line", "text"))
-    cut = tables.stage(cut.where(F.col("text").rlike(trigger)).dropDuplicates(["doc_id", "_h", "line"]), "lines")
+    cut = base.where(F.lower("_text").rlike(trigger)).select("doc_id", "_h", F.posexplode(F.split("_text", "\n")).alias("line", "text"))
+    cut = tables.stage(cut.where(F.lower("text").rlike(trigger)).dropDuplicates(["doc_id", "_h", "line"]), "lines")
     place = ["doc_id", "_h", "line"]
     # Weights and templates are as large as the labelled statements make them.
     weights = F.broadcast(spark.createDataFrame(list(model.weights.items()), "f string, w array<double>"))
