@@ -236,11 +236,12 @@ def list_deals(best: DataFrame, limit: int = 24, cursor: str | None = None,
 
 def list_chain_deals(deals: DataFrame, branches: DataFrame, chain_id: str, store_id: str | None = None,
                      category_id: int | None = None, matching: DataFrame | None = None,
-                     limit: int | None = 24, cursor: str | None = None) -> DataFrame:
+                     limit: int | None = 24, cursor: str | None = None, bits: DataFrame | None = None) -> DataFrame:
     """Best offer per product of a chain, or of one branch of it.
 
     At a branch only offers that run there compete. Without a branch the number
-    of branches of the shown offer is added.
+    of branches of the shown offer is added, and with ``bits`` (:func:`store_bits`)
+    that of all branches of the chain.
     """
     rows = deals.filter((F.col("chain_id") == chain_id) & (F.col("discount_tenths") > 0))
     if category_id is not None:
@@ -261,6 +262,8 @@ def list_chain_deals(deals: DataFrame, branches: DataFrame, chain_id: str, store
         counts = here.join(best.select("deal_id"), "deal_id", "left_semi").groupBy("deal_id").agg(
             F.count(F.lit(1)).alias("branches_on_deal"))
         best = best.join(counts, "deal_id", "left")
+        if bits is not None:
+            best = best.withColumn("branches_total", bits.filter(F.col("chain_id") == chain_id).agg(F.count(F.lit(1)).alias("n")).scalar())
     return best.orderBy(*ordered)
 
 

@@ -267,10 +267,18 @@ def shard_index(b: Bridge):
 # --- streams ---------------------------------------------------------------------
 
 
-def _events(b: Bridge) -> DataFrame:
-    schema = b.table("events").schema
-    return b.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(b.folder).withColumn(
-        "ts", F.col("ts").cast("timestamp"))
+BATCHES = 4
+
+
+def _events(b: Bridge, root: str) -> DataFrame:
+    """All events as a stream of ``BATCHES`` micro-batches in order of time, unordered inside each."""
+    events = b.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    width = ((high or 0) - (low or 0)) // BATCHES + 1
+    for k in range(BATCHES):
+        part = events.filter(F.floor((F.unix_micros("ts") - (low or 0)) / width) == k)
+        part.repartition(2, F.xxhash64(*events.columns)).sortWithinPartitions(F.xxhash64(*events.columns)).write.mode("append").parquet(f"{root}/feed")
+    return b.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/feed")
 
 
 def _run_folder(b: Bridge, name: str) -> str:
@@ -278,7 +286,7 @@ def _run_folder(b: Bridge, name: str) -> str:
 
 
 @query("stream_latest_value", """
-    SELECT user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value
+    SELECT user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (SELECT user_id, event_type, max(ts) AS ts, arg_max(value, {'t': ts, 'v': value}) AS value
         FROM events GROUP BY ALL)""")
 def stream_latest_value(b: Bridge):
     """Events as a stream; every micro-batch replaces the stored latest rows."""
@@ -291,7 +299,7 @@ def stream_latest_value(b: Bridge):
             fresh = jobs.merge_latest(b.spark.read.parquet(f"{root}/table/batch={number - 1}"), fresh, keys, "ts")
         fresh.write.mode("overwrite").parquet(f"{root}/table/batch={number}")
 
-    run = _events(b).writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/checkpoint").trigger(
+    run = _events(b, root).writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/checkpoint").trigger(
         availableNow=True).start()
     run.awaitTermination()
     last = run.lastProgress["batchId"] if run.lastProgress else 0
@@ -308,7 +316,7 @@ def stream_new_offer_alerts(b: Bridge):
     before = b.spark.conf.get(provider)
     b.spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        feed = _events(b).select(F.concat_ws("-", "user_id", "event_type").alias("offer_key"), "ts",
+        feed = _events(b, root).select(F.concat_ws("-", "user_id", "event_type").alias("offer_key"), "ts",
                                  (F.col("ts") + F.expr("interval 40 days")).alias("ends"))
         run = jobs.write_alerts(jobs.announce_new_offers(feed), f"{root}/alerts", f"{root}/checkpoint")
         run.awaitTermination()
@@ -321,7 +329,7 @@ def stream_new_offer_alerts(b: Bridge):
 @query("stream_announce_once", "SELECT DISTINCT user_id || '-' || event_type AS offer_key FROM events")
 def stream_announce_once(b: Bridge):
     root = _run_folder(b, "once")
-    feed = _events(b).select(F.concat_ws("-", "user_id", "event_type").alias("offer_key"), "ts")
+    feed = _events(b, root).select(F.concat_ws("-", "user_id", "event_type").alias("offer_key"), "ts")
     run = jobs.write_alerts(jobs.announce_once(feed), f"{root}/alerts", f"{root}/checkpoint")
     run.awaitTermination()
     return b.spark.read.schema("offer_key string, ts timestamp").parquet(f"{root}/alerts").select("offer_key")

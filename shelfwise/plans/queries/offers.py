@@ -145,12 +145,13 @@ def deals_page_after_cursor(b: Bridge):
     , ranked AS (SELECT * FROM real_deals WHERE chain_id = '{CHAIN}'
         QUALIFY row_number() OVER (PARTITION BY barcode ORDER BY unit_agorot, deal_id) = 1),
     n AS (SELECT {KEY}, unit_agorot, count(*) AS branches_on_deal FROM klinks GROUP BY ALL)
-    SELECT {DEAL}, branches_on_deal FROM ranked JOIN n USING ({KEY}, unit_agorot)
-    ORDER BY discount_tenths DESC, deal_id LIMIT 25""", ("real_deals", "klinks"))
+    SELECT {DEAL}, branches_on_deal, (SELECT count(*) FROM (SELECT store_id FROM stores WHERE chain_id = '{CHAIN}' UNION SELECT store_id FROM links WHERE chain_id = '{CHAIN}')) AS branches_total
+    FROM ranked JOIN n USING ({KEY}, unit_agorot)
+    ORDER BY discount_tenths DESC, deal_id LIMIT 25""", ("real_deals", "klinks", "stores", "links"))
 def deals_of_chain(b: Bridge):
     table, links, _ = b.deals()
-    page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN)
-    return page.select(*deal_columns(), "branches_on_deal")
+    page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN, bits=offers.store_bits(b.stores(), b.offer_tables()[1]))
+    return page.select(*deal_columns(), "branches_on_deal", "branches_total")
 
 
 @query("deals_of_branch", f"""
@@ -267,10 +268,14 @@ def store_bits(b: Bridge):
     return offers.store_bits(b.stores(), b.offer_tables()[1])
 
 
-@query("branches_without_bit", "SELECT chain_id, store_id FROM links WHERE false", ("links",))
+@query("branches_without_bit", """
+    SELECT DISTINCT chain_id, store_id FROM links WHERE (chain_id, store_id) IN (SELECT (chain_id, store_id) FROM (
+        SELECT chain_id, store_id, row_number() OVER (PARTITION BY chain_id ORDER BY store_id) - 1 AS bit FROM (
+            SELECT chain_id, store_id FROM stores UNION SELECT chain_id, store_id FROM links)) WHERE bit % 3 = 1)""", ("links", "stores"))
 def branches_without_bit(b: Bridge):
+    """A numbering that lost every third branch of a chain."""
     links = b.offer_tables()[1]
-    return offers.branches_without_bit(links, offers.store_bits(b.stores(), links))
+    return offers.branches_without_bit(links, offers.store_bits(b.stores(), links).filter("bit % 3 <> 1"))
 
 
 @query("deal_bitmap_sizes", f"""
