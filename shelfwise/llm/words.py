@@ -93,6 +93,11 @@ class Slice:
         return self.data[self.offsets[i]:self.offsets[i + 1]].tobytes()
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges, as :meth:`Slice.word_hashes` gives them for words."""
+    return _ranges_hash(_BYTE[data], starts, ends, _IN_WORD)
+
+
 def window_hashes(words: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rabin-Karp hashes of all ``width`` consecutive words of one row, and each window's first word."""
     if len(words) < width:
