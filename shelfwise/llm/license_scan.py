@@ -2,9 +2,9 @@
 
 Features are the words and word pairs of a paragraph (a line). The classifier is a sparse multinomial logistic
 regression fitted here on labelled statements and on a bounded sample of the corpus's own lines; its temperature
-and the probability under which a family is unknown come from statements held back from the fit. Features that
-also occur in the sampled lines are left out, so a line with none of the remaining words has no feature at all and
-is surely no statement: one regular expression finds the lines that need the classifier, and misses none.
+and the probability under which a family is unknown come from statements held back from the fit. The vocabulary is
+that of the statements without function words, whatever the sample holds, so a line with none of its words has no
+feature: one regular expression finds the lines that need the classifier, and misses none.
 """
 
 from __future__ import annotations
@@ -54,6 +54,10 @@ FRAMES = ["{}", "Note: {}", "{} See the file for details.", "# {}", "Copyright 2
 HELD_FRAMES = ["* {} *", "Please note that {}", "{} Thank you."]
 
 
+# Function words: no features by themselves or in pairs with each other, nor are numbers.
+STOP = set("a an and any are as at be by following for from in is it may not of or our own that the these this to under use used with you".split())
+
+
 def tokens(line: Column) -> Column:
     """Lower-case words of letters, digits and inner dots, dashes and plus signs."""
     parts = F.split(F.lower(line), r"[^a-z0-9.+\-]+")
@@ -89,6 +93,10 @@ class Classifier:
     least: float
 
 
+def _counts_as_feature(f: str) -> bool:
+    return any(w not in STOP and not w.replace(".", "").isdigit() for w in f.split(" "))
+
+
 def _labelled(spark, frames: list[str]) -> DataFrame:
     rows = [(f.format(s), family) for family, statements in TEMPLATES.items() for s in statements for f in frames]
     rows += [(f.format(s), UNKNOWN) for s in OTHER for f in frames] + [(s, NONE) for s in PROSE]
@@ -112,14 +120,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     runs = _templates(spark).select("run").distinct()
     stated_like = lines.select("line", F.explode(grams(F.col("line"), 3)).alias("run")).join(F.broadcast(runs), "run").select("line")
     lines = lines.join(stated_like.distinct(), "line", "left_anti").orderBy(F.xxhash64("line")).limit(len(FRAMES) * sample)
-    # The two samples are bounded, and so is what is collected: their different words and word pairs.
-    plain_rows = [r.f for r in lines.select(features(F.col("line")).alias("f")).collect()]
-    stated_rows = [(r.family, r.f) for r in _labelled(spark, FRAMES).select("family", features(F.col("line")).alias("f")).collect()]
-    common = {f for row in plain_rows for f in row}
-    # A pair counts only with a word that counts, so that single words tell which lines have features.
-    stated = [(c, [f for f in row if f not in common and not common.issuperset(f.split(" "))]) for c, row in stated_rows]
-    vocabulary = sorted({f for c, row in stated if c != NONE for f in row})
-    train = spark.createDataFrame([*stated, *((NONE, []) for _ in plain_rows)], "family string, f array<string>")
+    statements = spark.createDataFrame([(x,) for x in [*(x for g in TEMPLATES.values() for x in g), *OTHER]], "line string")
+    vocabulary = sorted({f for r in statements.select(features(F.col("line")).alias("f")).collect() for f in r.f if _counts_as_feature(f)})
+    used = lambda line: F.filter(features(line), lambda f: f.isin(vocabulary))
+    # The samples are bounded, and so is what is collected: their words and word pairs.
+    plain_rows = [r.f for r in lines.select(used(F.col("line")).alias("f")).collect()]
+    stated = [(r.family, r.f) for r in _labelled(spark, FRAMES).select("family", used(F.col("line")).alias("f")).collect()]
+    train = spark.createDataFrame([*stated, *((NONE, f) for f in plain_rows)], "family string, f array<string>")
     classes = [NONE, UNKNOWN, *sorted(TEMPLATES)]
     number = F.create_map(*[F.lit(x) for k, c in enumerate(classes) for x in (c, float(k))])
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="f", outputCol="features").setBinary(True)

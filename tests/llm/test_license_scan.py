@@ -49,3 +49,15 @@ def test_query_finds_the_planted_lines(spark):
     want = {r.doc_id: next((c for c, s in lines.items() if s in r.text.split("\n")), "none") for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = {r.doc_id: r.family for r in op5_license_scan(spark, FOLDER).collect()}
     assert got == want and set(want.values()) > {"none", "mit"}
+
+
+def test_sample_with_licence_words_hides_no_statement(spark):
+    """Headings and plain lines that use a statement's words are no reason to skip it."""
+    plain = ["MIT License", "er kam mit dem Zug", "the license was released", "under the bridge", "the software of the gnu", "general public", "his license", "terms of the work"]
+    stated = {0: ("Released under the MIT License.", "mit"), 1: ("Licensed under the GNU General Public License, version 3.", "gpl"), 2: ("Licensed under the Apache License, Version 2.0.", "apache-2.0")}
+    rows = [(k, "\n\n".join([*plain, f"line {k} of the text", stated[k][0] if k < 3 else "no more"]), "", "") for k in range(200)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r for r in ls.license_scan(df, ls.fit(df)).collect()}
+    assert {k: got[k].family for k in stated} == {k: f for k, (_, f) in stated.items()}
+    assert all(got[k].family in ("none", "unknown") for k in range(3, 200))
+    assert not any(s.line in (2, 6, 10, 12, 14) for r in got.values() for s in r.licenses)
