@@ -51,6 +51,16 @@ def test_query_finds_the_planted_lines(spark):
     assert got == want and set(want.values()) > {"none", "mit"}
 
 
+WRAPPED = {
+    "gpl": ["# This program is free software: you can redistribute it and/or modify", "# it under the terms of the GNU General Public License as published by",
+            "# the Free Software Foundation, either version 3 of the License, or", "# (at your option) any later version."],
+    "bsd": [" * Redistribution and use in source and binary forms, with or without", " * modification, are permitted provided that the following conditions",
+            " * are met:"],
+    "mit": ["// Permission is hereby granted, free of charge, to any person", "// obtaining a copy of this software and associated documentation files", '// (the "Software"), to deal in the Software without restriction'],
+    "apache-2.0": ["   Licensed under the Apache", "   License, Version 2.0 (the", '   "License");'],
+}
+
+
 def test_sample_with_licence_words_hides_no_statement(spark):
     """Headings and plain lines that use a statement's words are no reason to skip it."""
     plain = ["MIT License", "er kam mit dem Zug", "the license was released", "under the bridge", "the software of the gnu", "general public", "his license", "terms of the work"]
@@ -61,3 +71,16 @@ def test_sample_with_licence_words_hides_no_statement(spark):
     assert {k: got[k].family for k in stated} == {k: f for k, (_, f) in stated.items()}
     assert all(got[k].family in ("none", "unknown") for k in range(3, 200))
     assert not any(s.line in (2, 6, 10, 12, 14) for r in got.values() for s in r.licenses)
+
+
+def test_statements_wrapped_over_lines(spark, model):
+    alone = list(WRAPPED)
+    rows = [(k, "\n".join(["#!/bin/sh", "", *WRAPPED[c], "", "the rest of it"]), "", "") for k, c in enumerate(alone)]
+    rows += [(10, "\n".join(["a b c", *WRAPPED["gpl"], "", *WRAPPED["bsd"]]), "", ""), (11, "\n".join(WRAPPED["bsd"] * 50), "", ""),
+             (12, "\n\n".join(WRAPPED["bsd"]), "", ""), (None, "\n".join(WRAPPED["gpl"]), "", ""), (13, "\n".join(WRAPPED["gpl"]).replace("\n", "\r\n"), "", "")]
+    got = {r.doc_id: r for r in ls.license_scan(spark.createDataFrame(rows * 2, DOCS), model).collect()}
+    for k, c in enumerate(alone):
+        assert [(s.line, s.family) for s in got[k].licenses if s.family != "unknown"] == [(2, c)] and got[k].family == c
+    assert [(s.line, s.family) for s in got[10].licenses if s.family != "unknown"] == [(1, "gpl"), (6, "bsd")]
+    assert [s.line for s in got[11].licenses if s.family == "bsd"] == list(range(0, 150, 3))
+    assert got[12].family in ("none", "unknown") and got[None].family == got[13].family == "gpl"
