@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontamination, language_model, license_scan, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import decontamination, filter_audit, language_model, license_scan, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,11 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminate(tables.documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")).drop("text_key")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(tables.documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+ORACLES["op12_filter_audit"] = filter_audit.SQL
