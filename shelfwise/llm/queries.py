@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontamination, filter_audit, language_model, license_scan, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import decontamination, filter_audit, language_model, license_scan, merkle, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,11 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_filter_audit"] = filter_audit.SQL
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(tables.documents(spark, folder))
+
+
+ORACLES["op13_merkle_manifest"] = merkle.SQL
