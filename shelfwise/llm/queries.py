@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontamination, filter_audit, language_model, license_scan, merkle, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
+from shelfwise.llm import decontamination, filter_audit, interval_dedup, language_model, license_scan, merkle, mixing, near_duplicates, quality, secret_scan, tables, token_counts, token_files
 from shelfwise.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,10 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op13_merkle_manifest"] = merkle.SQL
+
+
+@query
+def op11_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return interval_dedup.interval_dedup(tables.documents(spark, folder)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
