@@ -6,8 +6,8 @@ text. Anchors are counted first, and stretches travel only if their anchor is fo
 of many anchors into one text, transforms it and expands intervals up to the threshold (``transform.py``): in each class of equal
 strings all but the earliest are covered. Covered strings return to their document and merge into maximal runs of bytes.
 
-Groups of copies are thinned where they are read: of equal stretches in one block of documents only the earliest goes on,
-the others are covered by it already. The anchors found most often (a bounded list) send single strings instead of stretches,
+Equal stretches are one text with several places, of which only the earliest is transformed: the others are covered, string by
+string, by it. Groups of copies are so thinned where they are read, block by block, and again where their anchors meet. The anchors found most often (a bounded list) send single strings instead of stretches,
 keyed by the whole string, so that one common phrase in many contexts spreads over all tasks.
 """
 
@@ -25,9 +25,11 @@ from shelfwise.llm import tables, transform, words
 WIDTH = 100
 GRAM = 24
 # Bytes hashed at once, bytes of a block of documents, and symbols of one transform.
-PIECE, BLOCK, SYMBOLS = 1 << 20, 16 << 20, 1_200_000
+PIECE, BLOCK, SYMBOLS = 1 << 18, 16 << 20, 1_000_000
 # An anchor found more often than this may send single strings; the list of such anchors is sent to every task.
-OFTEN, MOST_OFTEN = 4096, 1 << 16
+OFTEN, MOST_OFTEN = 1 << 16, 1 << 16
+# Anchors of a group with more text than a transform holds are made longer, step by step.
+LONGER = (64, 92)
 _SENT = pa.schema([("key", pa.int64()), ("rid", pa.int64()), ("n", pa.int64()), ("known", pa.bool_())])
 _ROUTED = pa.schema([("key", pa.int64()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
 _COVERED = pa.schema([("rid", pa.int64()), ("at", pa.int64()), ("n", pa.int64())])
@@ -60,8 +62,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tup
     none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     if n < width:
         return none
-    starts = np.arange(n - gram + 1)
-    grams, size = words.range_hashes(data, starts, starts + gram), 1
+    grams, size = words.rolling_hashes(data, gram), 1
     least = grams
     while 2 * size <= span:
         least = np.minimum(least[:-size], least[size:])
@@ -120,14 +121,59 @@ def _counter(width: int, gram: int):
     return count
 
 
+def _member(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
+def _gathered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The bytes of the ranges, one after another."""
+    lengths = end - start
+    return data[np.repeat(start - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
+
+
+def _earliest(same: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts with equal hashes the earliest, and all others."""
+    order = np.lexsort((at, doc, same))
+    first, lengths = words.runs(same[order])
+    head = np.repeat(order[first], lengths)
+    # Rows that share id and place count as one and are not covered by each other.
+    go = (doc[order] == doc[head]) & (at[order] == at[head])
+    return order[go], order[~go]
+
+
+def _text_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the ranges, some at a time: memory does not follow the data."""
+    some = max(1, PIECE // max(1, int((end - start).max(initial=1))))
+    found = [np.empty(0, np.uint64)]
+    for k in range(0, len(start), some):
+        size = np.cumsum(end[k:k + some] - start[k:k + some])
+        found.append(words.range_hashes(_gathered(data, start[k:k + some], end[k:k + some]), np.concatenate([[0], size[:-1]]), size))
+    return np.concatenate(found)
+
+
+def _longer(data, start, end, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of the ranges by a longer anchor, in order of it: range, first string, strings and key."""
+    some, parts = max(1, PIECE // max(1, int((end - start).max(initial=1)))), []
+    for k in range(0, len(start), some):
+        offsets = np.concatenate([[0], np.cumsum(end[k:k + some] - start[k:k + some])])
+        at, n, key, _ = anchors(_gathered(data, start[k:k + some], end[k:k + some]), offsets, width, gram)
+        which = np.searchsorted(offsets, at, side="right") - 1
+        parts.append((which + k, at - offsets[which], n, key))
+    which, at, n, key = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    return which[order], at[order], n[order], key[order]
+
+
 class _Held:
     """Stretches of one block of documents."""
 
     def __init__(self):
         self.data, self.size, self.columns = [], 0, []
 
-    def add(self, data, start, n, key, rid, doc, at):
-        self.columns.append((start + self.size, n, key, rid, doc, at))
+    def add(self, data, start, n, key, rid, doc, at, width):
+        self.columns.append((start + self.size, n, key, rid, doc, at, words.range_hashes(data, start, start + n + width - 1)))
         self.data.append(data)
         self.size += len(data)
 
@@ -135,36 +181,24 @@ class _Held:
         if not self.columns:
             return
         data = np.concatenate(self.data)
-        start, n, key, rid, doc, at = (np.concatenate(c) for c in zip(*self.columns))
-        go, covered = self._earliest(data, start, start + n + width - 1, doc, at)
+        start, n, key, rid, doc, at, same = (np.concatenate(c) for c in zip(*self.columns))
+        go, covered = _earliest(same, doc, at)
         yield from self._covered(rid[covered], at[covered], n[covered])
-        split = go[np.isin(key[go], often)]
-        go = go[~np.isin(key[go], often)]
+        single = _member(key[go], often)
+        split, go = go[single], go[~single]
         yield from self._stretches(data, start[go], start[go] + n[go] + width - 1, key[go], rid[go], doc[go], at[go])
-        for some in np.array_split(split, len(split) // 10_000 + 1):
-            if not len(some):
-                continue
+        for k in range(0, len(split), 2000):
             # Single strings of the most frequent anchors, keyed by the whole string.
-            which = np.repeat(some, n[some])
+            some = split[k:k + 2000]
+            own = _gathered(data, start[some], start[some] + n[some] + width - 1)
+            begin = np.cumsum(n[some] + width - 1) - (n[some] + width - 1)
+            which = np.repeat(np.arange(len(some)), n[some])
             step = np.arange(len(which)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
-            s, a = start[which] + step, at[which] + step
-            go, covered = self._earliest(data, s, s + width, doc[which], a)
-            yield from self._covered(rid[which[covered]], a[covered], np.ones(len(covered), np.int64))
-            whole = words.range_hashes(data, s[go], s[go] + width).view(np.int64)
-            yield from self._stretches(data, s[go], s[go] + width, whole, rid[which[go]], doc[which[go]], a[go])
-
-    @staticmethod
-    def _earliest(data, start, end, doc, at):
-        """Of equal texts the earliest, and all others."""
-        same = words.range_hashes(data, start, end)
-        order = np.lexsort((at, doc, same))
-        first, lengths = words.runs(same[order])
-        head = np.repeat(order[first], lengths)
-        # Rows that share id and place count as one and are not covered by each other.
-        tied = (doc[order] == doc[head]) & (at[order] == at[head])
-        go = np.zeros(len(order), bool)
-        go[first] = True
-        return order[go | tied], order[~(go | tied)]
+            s, a, r, d = begin[which] + step, at[some][which] + step, rid[some][which], doc[some][which]
+            whole = words.range_hashes(own, s, s + width)
+            go, covered = _earliest(whole, d, a)
+            yield from self._covered(r[covered], a[covered], np.ones(len(covered), np.int64))
+            yield from self._stretches(own, s[go], s[go] + width, whole[go].view(np.int64), r[go], d[go], a[go])
 
     @staticmethod
     def _covered(rid, at, n) -> Iterator[pa.RecordBatch]:
@@ -174,11 +208,9 @@ class _Held:
     @staticmethod
     def _stretches(data, start, end, key, rid, doc, at) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(key), 10_000):
-            s, e = start[k:k + 10_000], end[k:k + 10_000]
-            lengths = e - s
-            raw = data[np.repeat(s - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
             cut = slice(k, k + 10_000)
-            yield _batch([key[cut], rid[cut], doc[cut], at[cut], lengths, words.binaries(raw, lengths)], _ROUTED)
+            lengths = end[cut] - start[cut]
+            yield _batch([key[cut], rid[cut], doc[cut], at[cut], lengths, words.binaries(_gathered(data, start[cut], end[cut]), lengths)], _ROUTED)
 
 
 def _router(width: int, gram: int, often: np.ndarray):
@@ -190,11 +222,11 @@ def _router(width: int, gram: int, often: np.ndarray):
             for data, offsets, rows, base in _pieces(batch.column("text"), width - 1):
                 start, n, h, _ = anchors(data, offsets, width, gram)
                 key = h.view(np.int64)
-                found = np.flatnonzero(np.isin(key, repeated))
+                found = np.flatnonzero(_member(key, repeated))
                 if not len(found):
                     continue
                 start, piece = start[found], np.searchsorted(offsets, start[found], side="right") - 1
-                held.add(data, start, n[found], key[found], rid[rows[piece]], doc[rows[piece]].astype(np.int64), start - offsets[piece] + base[piece])
+                held.add(data, start, n[found], key[found], rid[rows[piece]], doc[rows[piece]].astype(np.int64), start - offsets[piece] + base[piece], width)
                 if held.size >= BLOCK:
                     yield from held.send(width, often)
                     held = _Held()
@@ -224,35 +256,42 @@ def _runs_of(rid: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield _batch([rid[first], at[first], at[np.append(first[1:], len(rid)) - 1] - at[first] + 1], _COVERED)
 
 
-def _expander(width: int, symbols: int):
-    def solve(rid, doc, at, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
-        starts = np.concatenate([[0], ends[:-1]])
-        if len(data) + len(texts) <= transform.MOST:
+def _units(key: np.ndarray, sizes: np.ndarray, symbols: int) -> Iterator[tuple[int, int]]:
+    """Whole runs of equal keys, together up to about so many symbols."""
+    first, _ = words.runs(key)
+    begin, held = 0, 0
+    for at, size in zip(first.tolist(), np.add.reduceat(sizes, first).tolist() if len(first) else []):
+        if held and held + size > symbols:
+            yield begin, at
+            begin, held = at, 0
+        held += size
+    if held:
+        yield begin, len(key)
+
+
+def _expander(width: int, symbols: int, longer: tuple[int, ...]):
+    def solve(rid, doc, at, data, starts, ends, grams) -> Iterator[pa.RecordBatch]:
+        # Equal stretches are one text with several places: whatever the classes of its strings, its later places are covered.
+        go, covered = _earliest(_text_hashes(data, starts, ends), doc, at)
+        if len(covered):
+            yield _batch([rid[covered], at[covered], (ends - starts)[covered] - width + 1], _COVERED)
+        rid, doc, at, starts, ends = rid[go], doc[go], at[go], starts[go], ends[go]
+        if (ends - starts + 1).sum() <= transform.MOST:
             number, which, offset = transform.classes(data, starts, ends, width)
-        else:
-            # One anchor with more text than a transform holds: its strings are dealt by their hash, equal ones together.
-            n = ends - starts - width + 1
-            which = np.repeat(np.arange(len(texts)), n)
-            offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-            s = starts[which] + offset
-            share = words.range_hashes(data, s, s + width) % np.uint64(len(which) * (width + 1) // symbols + 1)
-            for k in np.unique(share):
-                some = np.flatnonzero(share == k)
-                if len(some) * (width + 1) > transform.MOST:  # equal strings in such numbers: the earliest by lookup
-                    _, number = np.unique(words.range_hashes(data, s[some], s[some] + width), return_inverse=True)
-                    order = np.argsort(number, kind="stable")
-                    some, number = some[order], number[order]
-                else:
-                    number, text, _ = transform.classes(data, s[some], s[some] + width, width)
-                    some = some[text]
-                d, a = doc[which[some]], at[which[some]] + offset[some]
-                late = _later(number, d, a)
-                yield from _runs_of(rid[which[some]][late], a[late])
+            place = at[which] + offset
+            late = _later(number, doc[which], place)
+            yield from _runs_of(rid[which[late]], place[late])
             return
-        place = at[which] + offset
-        late = _later(number, doc[which], place)
-        yield from _runs_of(rid[which[late]], place[late])
+        # One anchor in more text than a transform holds: its strings are dealt by longer anchors, at last by themselves.
+        text, first, n, key = _longer(data, starts, ends, width, grams[0])
+        rid, doc, at, start = rid[text], doc[text], at[text] + first, starts[text] + first
+        end = start + n + width - 1
+        for a, b in _units(key, end - start + 1, symbols):
+            if len(grams) > 1:
+                yield from solve(rid[a:b], doc[a:b], at[a:b], data, start[a:b], end[a:b], grams[1:])
+            else:
+                late = _later(np.cumsum(np.concatenate([[0], key[a + 1:b] != key[a:b - 1]])), doc[a:b], at[a:b])
+                yield from _runs_of(rid[a:b][late], at[a:b][late])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -286,15 +325,9 @@ def _expander(width: int, symbols: int):
         table = pa.Table.from_batches(held)
         rid, doc, at, key = (table[c].to_numpy() for c in ("rid", "doc_id", "at", "key"))
         texts, n = table["text"].to_pylist(), table["n"].to_numpy()
-        # Whole anchors, about so many symbols at a time.
-        first, lengths = words.runs(key)
-        sizes, begin, held_now = np.add.reduceat(n + 1, first), 0, 0
-        for k in range(len(first)):
-            if held_now and held_now + sizes[k] > symbols:
-                yield from solve(rid[begin:first[k]], doc[begin:first[k]], at[begin:first[k]], texts[begin:first[k]])
-                begin, held_now = first[k], 0
-            held_now += sizes[k]
-        yield from solve(rid[begin:], doc[begin:], at[begin:], texts[begin:])
+        data, end = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(n)
+        for a, b in _units(key, n + 1, symbols):
+            yield from solve(rid[a:b], doc[a:b], at[a:b], data, end[a:b] - n[a:b], end[a:b], (*longer, width))
 
     return expand
 
@@ -334,7 +367,7 @@ def _remover(width: int):
 
 
 def interval_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM,
-                   often: int = OFTEN, symbols: int = SYMBOLS) -> DataFrame:
+                   often: int = OFTEN, symbols: int = SYMBOLS, longer: tuple[int, ...] = LONGER) -> DataFrame:
     """Per row ``doc_id``, ``n_bytes``, ``removed`` (byte intervals ``[start, end)``), ``kept_sha256`` and ``kept`` (bytes).
 
     A byte goes when a string of ``width`` bytes that covers it also starts earlier: in a row of smaller id, or before in the same
@@ -359,7 +392,7 @@ def interval_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = text.join(hashes.hint("merge"), "rid").mapInArrow(
         _router(width, gram, often_keys), "key bigint, rid bigint, doc_id bigint, at bigint, n bigint, text binary")
     routed = found.repartition(parts, F.coalesce("key", "rid")).sortWithinPartitions("key")
-    covered = routed.mapInArrow(_expander(width, symbols), "rid bigint, at bigint, n bigint")
+    covered = routed.mapInArrow(_expander(width, symbols, longer), "rid bigint, at bigint, n bigint")
     spans = covered.groupBy("rid").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
     return text.join(spans.hint("merge"), "rid", "left").select("doc_id", "text", "spans").mapInArrow(
         _remover(width), "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept_sha256 string, kept binary")

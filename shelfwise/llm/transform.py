@@ -9,7 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 INDEX_BITS = 21
-MOST = (1 << INDEX_BITS) - 2
+# Symbols of one transform: they and their positions share 64 bits, and a task needs about 120 bytes for each.
+MOST = 1 << 20
 MARK = 0
 
 
@@ -74,24 +75,35 @@ def boundaries(symbols: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray
     """
     n = len(symbols)
     before = symbols[order - 1]
-    step = np.empty(n, np.int64)
-    step[np.argsort(before, kind="stable")] = np.arange(n)
-    first = np.zeros(n + 2, symbols.dtype)
-    first[1:-1] = np.sort(symbols)
+    step = np.empty(n, np.int32)
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
+    # An interval whose transform is one symbol moves as a whole; its run of equal symbols tells.
+    last = np.flatnonzero(np.append(before[1:] != before[:-1], True)).astype(np.int32)
+    run_end = np.repeat(last + 1, np.diff(last, prepend=-1))
+    counts = np.bincount(before)
+    new_symbol = np.zeros(n + 2, bool)
+    new_symbol[np.cumsum(counts)[:-1][counts[1:] > 0] + 1] = True  # one place of room on either side, as in owner
     found = np.zeros(n + 1, bool)
     found[[0, n]] = True
-    owner, stamp = np.full(n + 2, -1, np.int64), 0  # one place of room on either side
-    low, high = np.array([0]), np.array([n])
+    owner, stamp = np.full(n + 2, -1, np.int32), 0
+    low, high = np.array([0], np.int32), np.array([n], np.int32)
     for _ in range(depth):
+        whole = run_end[low] >= high
+        own_low, own_high = low[whole], high[whole]
+        real = before[own_low] != MARK
+        own_low, size = step[own_low[real]], (own_high - own_low)[real]
+        low, high = low[~whole], high[~whole]
         sizes = high - low
-        own = np.repeat(np.arange(len(low)), sizes)
-        at = np.arange(len(own)) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+        own = np.repeat(np.arange(stamp, stamp + len(low), dtype=np.int32), sizes)
+        at = np.arange(len(own), dtype=np.int32) + np.repeat(low - (np.cumsum(sizes, dtype=np.int32) - sizes), sizes)
         real = before[at] != MARK
-        own, at = own[real] + stamp, step[at[real]] + 1
+        own, at = own[real], step[at[real]] + 1
         stamp += len(low)
         owner[at] = own
-        same = lambda other: (owner[other] == own) & (first[other] == first[at])
-        low, high = np.sort(at[~same(at - 1)]) - 1, np.sort(at[~same(at + 1)])
+        begins = (owner[at - 1] != own) | new_symbol[at]
+        ends = (owner[at + 1] != own) | new_symbol[at + 1]
+        low = np.concatenate([own_low, np.sort(at[begins]) - 1])
+        high = np.concatenate([own_low + size, np.sort(at[ends])])
         fresh = ~found[high]
         low, high = low[fresh], high[fresh]
         if not len(low):

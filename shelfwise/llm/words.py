@@ -98,6 +98,16 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return _ranges_hash(_BYTE[data], starts, ends, _IN_WORD)
 
 
+def rolling_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all ranges of ``width`` bytes, in place order; for other uses than :func:`range_hashes`."""
+    up, down = _IN_WORD.get(len(data) + 1)
+    with np.errstate(over="ignore"):
+        total = np.empty(len(data) + 1, _U)
+        total[0] = 0
+        np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
+        return mix((total[width:] - total[:-width]) * down[: len(data) - width + 1])
+
+
 def window_hashes(words: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rabin-Karp hashes of all ``width`` consecutive words of one row, and each window's first word."""
     if len(words) < width:

@@ -3,10 +3,11 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from shelfwise.llm import transform
+from shelfwise.llm import interval_dedup as interval_module, transform
 from shelfwise.llm.interval_dedup import anchors, interval_dedup
 from shelfwise.llm.queries import op11_interval_dedup
 
@@ -52,12 +53,32 @@ def rows_of(seed):
 
 @pytest.mark.parametrize("seed,options", [(1, {}), (2, {"often": 3}), (3, {"often": 0}), (4, {"symbols": 500})])
 def test_matches_brute_force(spark, seed, options):
+    """``often`` sends single strings; ``symbols`` makes small transforms."""
     rows = rows_of(seed)
     df = spark.createDataFrame([(*r, "clash", 1, 2) for r in rows], DOCS).repartition(3)
     got = result(interval_dedup(df, width=12, gram=5, **options))
     assert sorted(got, key=str) == sorted(brute(rows, 12), key=str)
 
 
+@pytest.mark.parametrize("most", [300, 1500])
+def test_groups_beyond_one_transform_get_longer_anchors(monkeypatch, most):
+    monkeypatch.setattr(transform, "MOST", most)
+    rows = [(i, t) for i, t in rows_of(6) if i is not None and t]
+    rows = list(dict.fromkeys(rows))
+    sent, texts = [], [t.encode() for _, t in rows]
+    for k, t in enumerate(texts):
+        if len(t) >= 12:
+            sent.append((1, k, rows[k][0], 0, len(t), t))
+    table = pa.Table.from_pylist([dict(zip(interval_module._ROUTED.names, r)) for r in sent], schema=interval_module._ROUTED)
+    found = interval_module._expander(12, most, (7, 9))(iter(table.to_batches(max_chunksize=13)))
+    got = {(r["rid"], p) for b in found for r in b.to_pylist() for p in range(r["at"], r["at"] + r["n"])}
+    least = {}
+    for (i, _), t in zip(rows, texts):
+        for k in range(len(t) - 11):
+            least[t[k:k + 12]] = min(least.get(t[k:k + 12], (i, k)), (i, k))
+    assert got == {(k, p) for k, t in enumerate(texts) for p in range(len(t) - 11) if least[t[p:p + 12]] < (rows[k][0], p)}
+
+
 def test_very_long_texts_come_in_pieces(spark):
     rng = random.Random(5)
     long = "".join(rng.choice("abcdefghijklmnop") for _ in range(2_300_000))
