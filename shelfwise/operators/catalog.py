@@ -170,13 +170,15 @@ def product_lookup(requests: DataFrame, products: DataFrame, base: DataFrame, ex
     """Batch product lookup, keyed by the raw code asked for.
 
     ``documents`` has one row per request, null when unknown. Store prices and
-    offers come as rows of their own, so that no request grows without bound.
+    offers come as rows of their own, so that no request grows without bound;
+    ``documents.py`` makes published texts of them.
     """
     resolved = resolve_scans(requests, products)
     wanted = resolved.filter("barcode is not null").select("barcode").distinct()
     only = lambda df, spread: exists_join(df, wanted, ["barcode"], [spread])
     docs = price_documents(only(products, "name"), only(base, "chain_id"))
-    detail = detail_documents(exceptions_for(only(exc, "store_id"), pairs))
+    detail = exceptions_for(only(exc, "store_id"), pairs).select(
+        *ITEM_KEY, "store_id", money.to_shekels(F.col("agorot")).alias("price"))
     asked = resolved.filter("barcode is not null")
     return {
         "documents": resolved.join(docs, "barcode", "left"),
@@ -185,14 +187,6 @@ def product_lookup(requests: DataFrame, products: DataFrame, base: DataFrame, ex
     }
 
 
-def detail_documents(exc: DataFrame) -> DataFrame:
-    """Store prices of every item, a row per store at any number of stores.
-
-    Only the shard writer puts them into lists, within its byte budget.
-    """
-    return exc.select(*ITEM_KEY, "store_id", money.to_shekels(F.col("agorot")).alias("price"))
-
-
 def meta_summary(products: DataFrame, deals: DataFrame, chains: DataFrame, stores: DataFrame) -> DataFrame:
     """Counts behind the meta document, in one row."""
     one = lambda df: df.agg(F.count(F.lit(1)).alias("n")).scalar()

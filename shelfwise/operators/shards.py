@@ -92,13 +92,6 @@ def name_shards(term_rows: DataFrame, levels=NAME_LEVELS, limit: int = NAME_CHAR
     return done.distinct()
 
 
-def name_rows(docs: DataFrame, term_rows: DataFrame) -> DataFrame:
-    """Add the characters a product's row takes in a word shard."""
-    quoted = F.length(F.to_json(F.struct(F.col("barcode").alias("b"), F.col("name").alias("n"))))
-    # {"b":…,"n":…} against […,…,0]: eight characters of keys less two for the flag.
-    return term_rows.select("term", "barcode").join(docs.select("barcode", (quoted - 6).alias("chars")), "barcode")
-
-
 def write_shards(docs: DataFrame, path: str) -> None:
     """JSON lines by shard; a shard is bounded by its budget, so one file each. Shards of an earlier write go."""
     docs.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("shard").json(path)

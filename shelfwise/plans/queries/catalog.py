@@ -196,13 +196,6 @@ def price_documents(b: Bridge):
                        F.coalesce("doc.w", F.lit(0)).alias("w"), F.col("doc.u").alias("u")).filter("prices is not null")
 
 
-@query("detail_documents", """
-    SELECT chain_id, barcode, store_id, agorot FROM exc""", ("exc",))
-def detail_documents(b: Bridge):
-    docs = catalog.detail_documents(b.prices()[2])
-    return docs.select("chain_id", "barcode", "store_id", (F.col("price") * 100).cast("bigint").alias("agorot"))
-
-
 @query("batch_product_lookup", """
     SELECT raw, CASE WHEN k THEN barcode END AS barcode, CASE WHEN k THEN name END AS name,
            coalesce(CASE WHEN k THEN (SELECT count(*) FROM base x WHERE x.barcode = r.barcode) END, 0) AS chains,

@@ -46,12 +46,6 @@ def test_scans_and_pairs(spark):
     assert rows(catalog.store_pairs(pairs)) == [("a", "1"), ("b", "2")]
 
 
-def test_detail_documents_have_one_shape_at_any_size(spark):
-    exc = spark.range(1000).select(F.lit("A").alias("chain_id"), F.col("id").cast("string").alias("store_id"), F.lit("X").alias("barcode"), F.lit(100).alias("agorot"))
-    found = catalog.detail_documents(exc).collect()
-    assert sorted(r.store_id for r in found) == sorted(str(i) for i in range(1000)) and {float(r.price) for r in found} == {1.0}
-
-
 def test_store_filter_without_a_valid_pair_is_no_filter(spark):
     exc = spark.createDataFrame([("A", "1", "x", 5), ("B", "2", "y", 6)], "chain_id string, store_id string, barcode string, agorot bigint")
     pairs = lambda text: catalog.store_pairs(spark.createDataFrame([(text,)], "value string"))
