@@ -160,8 +160,9 @@ def prune_dominated(merged: DataFrame, links: DataFrame) -> tuple[DataFrame, Dat
 
 
 def build_deals(kept: DataFrame, base: DataFrame, products: DataFrame, chain_products: DataFrame,
-                categories: DataFrame, sample_from: DataFrame | None = None) -> DataFrame:
-    """Survivors with base price, category, name, discount and ``deal_id``."""
+                categories: DataFrame, sample_from: DataFrame | None = None, group: list[str] | None = None,
+                out: str = "deal_id") -> DataFrame:
+    """Survivors with base price, category, name, discount and ``out``, numbered over all chains or within ``group``."""
     prices = base.select(*ITEM_KEY, F.col("agorot").alias("base_agorot"))
     own = chain_products.select(*ITEM_KEY, F.col("name").alias("_own"))
     common = products.select("barcode", F.col("name").alias("_common"))
@@ -172,8 +173,8 @@ def build_deals(kept: DataFrame, base: DataFrame, products: DataFrame, chain_pro
         "name": F.coalesce(text.blank_to_null(F.col("_own")), F.col("_common")),
         "discount_tenths": money.discount_tenths(F.col("unit_agorot"), F.col("base_agorot")),
     }).drop("_own", "_common")
-    order = ["chain_id", "barcode", "club", "coupon", "unit_agorot", "min_qty"]
-    return number_rows(deals, [], order, "deal_id", sample_from=sample_from)
+    order = [c for c in ("chain_id", "barcode", "club", "coupon", "unit_agorot", "min_qty") if c not in (group or [])]
+    return number_rows(deals, group or [], order, out, sample_from=sample_from)
 
 
 def deal_branches(deals: DataFrame, links: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from shelfwise.plans.bridge import Bridge, ean
 from shelfwise.plans.registry import query
 from shelfwise.session import shared_dir
 from shelfwise.sources import csv, files, xml
-from shelfwise.streaming import jobs
+from shelfwise.streaming import jobs, latest
 
 
 # --- choosing files --------------------------------------------------------------
@@ -276,7 +276,8 @@ def _events(b: Bridge, root: str) -> DataFrame:
     low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
     width = ((high or 0) - (low or 0)) // BATCHES + 1
     for k in range(BATCHES):
-        part = events.filter(F.floor((F.unix_micros("ts") - (low or 0)) / width) == k)
+        # Events without a time come first.
+        part = events.filter(F.coalesce(F.floor((F.unix_micros("ts") - (low or 0)) / width), F.lit(0)) == k)
         part.repartition(2, F.xxhash64(*events.columns)).sortWithinPartitions(F.xxhash64(*events.columns)).write.mode("append").parquet(f"{root}/feed")
     return b.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/feed")
 
@@ -289,22 +290,12 @@ def _run_folder(b: Bridge, name: str) -> str:
     SELECT user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (SELECT user_id, event_type, max(ts) AS ts, arg_max(value, {'t': ts, 'v': value}) AS value
         FROM events GROUP BY ALL)""")
 def stream_latest_value(b: Bridge):
-    """Events as a stream; every micro-batch replaces the stored latest rows."""
-    root = _run_folder(b, "latest")
-    keys = ["user_id", "event_type"]
-
-    def merge(batch: DataFrame, number: int) -> None:
-        fresh = jobs.latest_from_feed(batch, keys, "ts", "value")
-        if number:
-            fresh = jobs.merge_latest(b.spark.read.parquet(f"{root}/table/batch={number - 1}"), fresh, keys, "ts")
-        fresh.write.mode("overwrite").parquet(f"{root}/table/batch={number}")
-
-    run = _events(b, root).writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/checkpoint").trigger(
-        availableNow=True).start()
-    run.awaitTermination()
-    last = run.lastProgress["batchId"] if run.lastProgress else 0
-    table = b.spark.read.parquet(f"{root}/table/batch={last}")
-    return table.select("user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    """Events as a stream; every micro-batch rewrites the buckets of its keys."""
+    root, keys = _run_folder(b, "latest"), ["user_id", "event_type"]
+    feed = _events(b, root).select(*keys, "ts", "value")
+    table = latest.LatestTable(b.spark, f"{root}/table", feed.schema, keys, "ts", buckets=16)
+    table.follow(feed, f"{root}/checkpoint").awaitTermination()
+    return table.read().select("user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
 
 @query("stream_new_offer_alerts", """
