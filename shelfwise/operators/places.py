@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions import geo, text
-from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, spread_join
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join
+from shelfwise.session import cut_lineage
 
 # Fixed value.
 SANITY_KM = 20.0
@@ -104,36 +105,80 @@ def ambiguous_addresses(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     return lookup_join(both, several, ["key"], ["id"], "left_semi")
 
 
-def nearest_reference_km(points: DataFrame, refs: DataFrame, cell_size: float = 0.02) -> DataFrame:
-    """Add ``km`` to the nearest reference point of the same ``city``; null if none.
+# Cells of each level of the reference tree are eight times as wide as those below; the top one spans the earth.
+TREE_BITS, TREE_LEVELS = 3, 6
+TREE_KEY = ["city", "_level", "_y", "_x"]
 
-    References are grouped into small cells. A point first looks at the cells
-    of its city (their number is bounded by the city's area): each gives a
-    least and a greatest possible distance, and only cells that may hold the
-    nearest point are opened. ``points``: branch_uid, city, lat, lon.
-    """
-    spots = refs.filter("city <> '' and lat is not null and lon is not null").select(
-        "city", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct()
-    celled = spots.withColumns({"_y": geo.cell(F.col("_lat"), cell_size), "_x": geo.cell(F.col("_lon"), cell_size)})
-    cells = celled.groupBy("city", "_y", "_x").agg(
-        F.min("_lat").alias("_s"), F.max("_lat").alias("_n"), F.min("_lon").alias("_w"), F.max("_lon").alias("_e"),
-        F.min(F.struct("_lat", "_lon")).alias("_one"))
-    asked = points.select("city", "lat", "lon").filter("city <> ''").distinct()
-    opened = spread_join(asked, cells, ["city"], ["lat", "lon"], "inner", FEW_KEYS_WAYS)
+
+def reference_tree(spots: DataFrame, cell_size: float) -> DataFrame:
+    """Occupied cells of all levels, per city: bounds, and one of the points inside (``city``, ``_lat``, ``_lon``)."""
+    cells = spots.withColumns({"_y": geo.cell(F.col("_lat"), cell_size), "_x": geo.cell(F.col("_lon"), cell_size)}).groupBy("city", "_y", "_x").agg(
+        F.min("_lat").alias("_s"), F.max("_lat").alias("_n"), F.min("_lon").alias("_w"), F.max("_lon").alias("_e"), F.min(F.struct("_lat", "_lon")).alias("_one"))
+    up = lambda c, k: F.shiftright(F.col(c).cast("bigint"), TREE_BITS * k)
+    levels = F.array(*[F.struct(F.lit(k).alias("_level"), up("_y", k).alias("_y"), up("_x", k).alias("_x")) for k in range(TREE_LEVELS)])
+    every = cells.select("city", F.explode(levels).alias("_c"), "_s", "_n", "_w", "_e", "_one").select("city", "_c.*", "_s", "_n", "_w", "_e", "_one")
+    return every.groupBy(*TREE_KEY).agg(
+        F.min("_s").alias("_s"), F.max("_n").alias("_n"), F.min("_w").alias("_w"), F.max("_e").alias("_e"), F.min("_one").alias("_one"))
+
+
+def _bounds() -> tuple[Column, Column]:
+    """Least and greatest km from (``lat``, ``lon``) to the nearest point of a tree cell."""
     # True lower bounds: the latitude gap, and the longitude gap at the higher latitude.
     lat_gap = F.greatest(F.col("_s") - F.col("lat"), F.col("lat") - F.col("_n"), F.lit(0.0))
     lon_gap = F.greatest(F.col("_w") - F.col("lon"), F.col("lon") - F.col("_e"), F.lit(0.0))
     narrow = F.cos(F.radians(F.col("lat"))) * F.least(F.cos(F.radians("_s")), F.cos(F.radians("_n")))
-    lon_km = F.lit(2 * geo.EARTH_KM) * F.asin(F.sqrt(narrow) * F.sin(F.radians(lon_gap) / 2))
+    lon_km = F.lit(2 * geo.EARTH_KM) * F.asin(F.sqrt(narrow) * F.sin(F.radians(F.least(lon_gap, F.lit(180.0))) / 2))
     low = F.greatest(F.radians(lat_gap) * geo.EARTH_KM, lon_km) - 1e-6
-    high = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("_one._lat"), F.col("_one._lon"))
-    bounded = opened.select("city", "lat", "lon", "_y", "_x", low.alias("_low"), high.alias("_high"))
-    reach = bounded.groupBy("city", "lat", "lon").agg(F.min("_high").alias("_reach"))
-    may = bounded.join(reach, ["city", "lat", "lon"]).filter(F.col("_low") <= F.col("_reach"))
-    pairs = spread_join(may.select("city", "lat", "lon", "_y", "_x"), celled, ["city", "_y", "_x"], ["lat", "lon"], "inner")
+    return low, geo.haversine_km(F.col("lat"), F.col("lon"), F.col("_one._lat"), F.col("_one._lon"))
+
+
+def nearest_reference_km(points: DataFrame, refs: DataFrame, cell_size: float = 0.02) -> DataFrame:
+    """Add ``km`` to the nearest reference point of the same ``city``; null if none.
+
+    References lie in a tree of cells. A point first asks the ring of cells around it on every level: any point found bounds
+    the distance. It then opens the cells within that bound, on the level where these are few, and goes down: at each level a
+    cell stays only if it may hold something nearer than the best bound so far. Every join is on a cell, none on the city.
+    ``points``: branch_uid, city, lat, lon.
+    """
+    spots = refs.filter("city <> '' and lat is not null and lon is not null").select(
+        "city", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct()
+    # The tree and the open cells of a level are read more than once, so both are kept.
+    tree, point = cut_lineage(reference_tree(spots, cell_size)), ["city", "lat", "lon"]
+    asked = points.select(*point).filter("city <> '' and lat is not null and lon is not null").distinct()
+    cell = lambda c: geo.cell(c, cell_size).cast("bigint")
+    low, high = _bounds()
+    level = lambda c, k: F.call_function("shiftright", c, k * TREE_BITS)
+    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    rings = asked.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(TREE_LEVELS - 1))))
+    rings = rings.withColumn("_y", F.explode(F.transform(around, lambda d: level(cell(F.col("lat")), F.col("_level")) + d)))
+    rings = rings.withColumn("_x", F.explode(F.transform(around, lambda d: level(cell(F.col("lon")), F.col("_level")) + d)))
+    met = lookup_join(rings, tree, TREE_KEY, ["lat", "lon"], "inner", FEW_KEYS_WAYS)
+    reach = met.groupBy(*point).agg(F.min(high).alias("_reach"))
+    # The level on which a bound is about two cells wide, and the cells within the bound there.
+    dlat = F.col("_reach") / geo.KM_PER_LAT_DEGREE * geo.BOX_SLACK
+    dlon = dlat / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("lat")) + dlat, F.lit(89.0)))), F.lit(0.01))
+    wide = F.ceil(F.log2(F.greatest(dlon / (2 * cell_size), F.lit(1.0))) / TREE_BITS).cast("int")
+    opened = reach.withColumns({"_dlat": dlat, "_dlon": dlon, "_level": F.least(wide, F.lit(TREE_LEVELS - 1))})
+    span = lambda c, d: F.sequence(level(cell(F.col(c) - F.col(d)), F.col("_level")), level(cell(F.col(c) + F.col(d)), F.col("_level")))
+    opened = opened.withColumn("_y", F.explode(span("lat", "_dlat"))).withColumn("_x", F.explode(span("lon", "_dlon"))).drop("_dlat", "_dlon")
+    cells = lookup_join(opened, tree, TREE_KEY, ["lat", "lon"], "inner", FEW_KEYS_WAYS)
+    best = Window.partitionBy(*point)
+    for k in range(TREE_LEVELS - 1, -1, -1):
+        near = cells.withColumns({"_low": low, "_reach": F.least(F.col("_reach"), F.min(high).over(best))}).filter("_low <= _reach")
+        cells = cut_lineage(near.drop("_low"))
+        if k == 0:
+            break
+        here, rest = cells.filter(F.col("_level") == k), cells.filter(F.col("_level") < k)
+        parent = tree.filter(F.col("_level") == k - 1).withColumns({
+            "_py": level(F.col("_y"), F.lit(1)), "_px": level(F.col("_x"), F.lit(1))})
+        down = here.select(*point, "_reach", F.col("_y").alias("_py"), F.col("_x").alias("_px"))
+        opened = lookup_join(down, parent, ["city", "_py", "_px"], ["lat", "lon"], "inner", FEW_KEYS_WAYS).drop("_py", "_px")
+        cells = opened.unionByName(rest)
+    located = spots.withColumns({"_y": cell(F.col("_lat")), "_x": cell(F.col("_lon"))})
+    pairs = lookup_join(cells.select(*point, "_y", "_x"), located, ["city", "_y", "_x"], ["lat", "lon"], "inner", FEW_KEYS_WAYS)
     km = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))
-    best = pairs.groupBy("city", "lat", "lon").agg(F.min(km).alias("km"))
-    return points.join(best, ["city", "lat", "lon"], "left")
+    found = pairs.groupBy(*point).agg(F.min(km).alias("km"))
+    return points.join(found, point, "left")
 
 
 def sanity_check(locations: DataFrame, refs: DataFrame, near_cell: float = 0.1) -> DataFrame:
