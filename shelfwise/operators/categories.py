@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions import text
 from shelfwise.operators.numbering import number_rows
-from shelfwise.operators.spread import lookup_join, min_by_order
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, min_by_order
 
 # Most specific first: the keys a rule of each level is looked up by.
 LADDER = [
@@ -63,7 +63,7 @@ def place_by_pair(products: DataFrame, pairs: DataFrame) -> tuple[DataFrame, Dat
 
 def merge_sources(placed: DataFrame, priority: DataFrame) -> DataFrame:
     """One placement per barcode: the source with the least rank wins."""
-    ranked = lookup_join(placed, priority.select("source", "rank"), ["source"], ["barcode"], "inner")
+    ranked = lookup_join(placed, priority.select("source", "rank"), ["source"], ["barcode"], "inner", FEW_KEYS_WAYS)
     return min_by_order(ranked, ["barcode"], [F.col("rank"), F.col("source")], ["slug", "source"])
 
 

@@ -303,7 +303,7 @@ def branch_modes(links: DataFrame, everywhere: DataFrame) -> DataFrame:
     """
     reach = everywhere.groupBy("chain_id").agg(F.count(F.lit(1)).alias("_all"))
     runs = links.groupBy(*READ_TERMS).agg(F.count(F.lit(1)).alias("runs_at"))
-    sized = lookup_join(runs, reach, ["chain_id"], ["barcode"], "inner")
+    sized = lookup_join(runs, reach, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
     missing = F.col("_all") - F.col("runs_at")
     mode = F.when(missing == 0, "all").when(missing < F.col("runs_at"), "except").otherwise("only")
     return sized.select(*READ_TERMS, "runs_at", missing.alias("missing_at"), mode.alias("mode"))

@@ -162,8 +162,9 @@ def nearest_reference_km(points: DataFrame, refs: DataFrame, cell_size: float =
     span = lambda c, d: F.sequence(level(cell(F.col(c) - F.col(d)), F.col("_level")), level(cell(F.col(c) + F.col(d)), F.col("_level")))
     opened = opened.withColumn("_y", F.explode(span("lat", "_dlat"))).withColumn("_x", F.explode(span("lon", "_dlon"))).drop("_dlat", "_dlon")
     cells = lookup_join(opened, tree, TREE_KEY, ["lat", "lon"], "inner", FEW_KEYS_WAYS)
-    best = Window.partitionBy(*point)
-    for k in range(TREE_LEVELS - 1, -1, -1):
+    cells = cut_lineage(cells)
+    best, top = Window.partitionBy(*point), cells.agg(F.max("_level")).first()[0] or 0
+    for k in range(top, -1, -1):
         near = cells.withColumns({"_low": low, "_reach": F.least(F.col("_reach"), F.min(high).over(best))}).filter("_low <= _reach")
         cells = cut_lineage(near.drop("_low"))
         if k == 0:

@@ -191,7 +191,7 @@ def priced_items(latest: DataFrame, stores: DataFrame) -> DataFrame:
 
 def drop_priceless(table: DataFrame, base: DataFrame, spread_by: list[str]) -> DataFrame:
     """Rows of chains that have at least one baseline price."""
-    return exists_join(table, base, ["chain_id"], spread_by)
+    return lookup_join(table, base.select("chain_id").distinct(), ["chain_id"], spread_by, "left_semi", FEW_KEYS_WAYS)
 
 
 # --- effective prices --------------------------------------------------------
@@ -227,7 +227,7 @@ def cheapest_by_barcode(stores: DataFrame, base: DataFrame, exc: DataFrame) -> D
     per_item = own.groupBy(*ITEM_KEY).agg(
         F.count(F.lit(1)).alias("_own_shops"), F.min("agorot").alias("_own_min")
     )
-    items = lookup_join(base, shop_counts, ["chain_id"], ["barcode"], "inner")
+    items = lookup_join(base, shop_counts, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
     joined = items.join(per_item, ITEM_KEY, "left")
     at_base = F.when(F.coalesce("_own_shops", F.lit(0)) < F.col("_shops"), F.col("agorot"))
     return (
@@ -237,6 +237,24 @@ def cheapest_by_barcode(stores: DataFrame, base: DataFrame, exc: DataFrame) -> D
     )
 
 
+def cheapest_rows(stores: DataFrame, base: DataFrame, exc: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` cheapest effective prices by price, item, chain and store, without the fan-out.
+
+    A row at its chain's price is among them only if its item is among the first ``limit`` items that some store sells at
+    that price, since each of these has a row before it. So only that many items are paired with their stores.
+    """
+    order = ["agorot", "barcode", "chain_id"]
+    shops = stores.select(*STORE_KEY).distinct()
+    own = exists_join(exc, shops, STORE_KEY, ["barcode"])
+    apart = own.orderBy(*order, "store_id").limit(limit).select(*ITEM_KEY, "store_id", "agorot")
+    counts = shops.groupBy("chain_id").agg(F.count(F.lit(1)).alias("_shops"))
+    taken = own.groupBy(*ITEM_KEY).agg(F.count(F.lit(1)).alias("_apart"))
+    items = lookup_join(base, counts, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS).join(taken, ITEM_KEY, "left")
+    open_items = items.filter(F.coalesce("_apart", F.lit(0)) < F.col("_shops")).orderBy(*order).limit(limit).select(*ITEM_KEY, "agorot")
+    at_base = shops.join(F.broadcast(open_items), "chain_id").join(own.select(*ITEM_KEY, "store_id"), [*ITEM_KEY, "store_id"], "left_anti")
+    return at_base.select(*apart.columns).unionByName(apart).orderBy(*order, "store_id").limit(limit)
+
+
 def cheapest_in_city(word: str, city: str, products: DataFrame, tokens: DataFrame, chains: DataFrame,
                      stores: DataFrame, base: DataFrame, exc: DataFrame, limit: int = 50) -> DataFrame:
     """Cheapest items with a word in the name at the stores of one city."""
@@ -247,7 +265,7 @@ def cheapest_in_city(word: str, city: str, products: DataFrame, tokens: DataFram
     named = lookup_join(prices, products.select("barcode", "name"), ["barcode"], ["store_id"], "inner")
     labels = chains.select("chain_id", F.col("name").alias("chain"))
     return (
-        lookup_join(named, labels, ["chain_id"], ["barcode"], "inner")
+        lookup_join(named, labels, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
         .select("name", "chain", "store_name", "store_id", "barcode", "agorot")
         .orderBy("agorot", "barcode", "chain", "store_id")
         .limit(limit)

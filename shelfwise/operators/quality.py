@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.operators.spread import exists_join
+from shelfwise.operators.prices import cheapest_rows
+from shelfwise.operators.spread import FEW_KEYS_WAYS, exists_join, lookup_join
 
 # The least a national mart holds.
 MINIMUMS = {"barcodes": 50_000, "chains with prices": 3, "stores": 100, "cities": 20}
@@ -54,12 +55,13 @@ def inconsistent_units(offers: DataFrame) -> DataFrame:
     return offers.filter((F.col("min_qty") <= 0) | (F.abs(F.col("unit_agorot") - exact) > 1))
 
 
-def live_view(prices: DataFrame, products: DataFrame, chains: DataFrame, limit: int = 3) -> DataFrame:
-    """A few cheapest named prices; empty means the mart does not answer."""
-    named = exists_join(prices.filter(F.coalesce("city", F.lit("")) != ""), products, ["barcode"], ["store_id"])
-    few = exists_join(named, chains, ["chain_id"], ["barcode"]).orderBy(
-        "agorot", "barcode", "chain_id", "store_id").limit(limit)
-    return few.join(products.select("barcode", "name"), "barcode").select(
+def live_view(stores: DataFrame, base: DataFrame, exc: DataFrame, products: DataFrame, chains: DataFrame, limit: int = 3) -> DataFrame:
+    """A few cheapest named prices of stores in a city; empty means the mart does not answer. No item meets all its stores."""
+    of_chains = lambda df, spread: lookup_join(df, chains.select("chain_id").distinct(), ["chain_id"], [spread], "left_semi", FEW_KEYS_WAYS)
+    sold = lambda df, spread: of_chains(exists_join(df, products, ["barcode"], [spread]), spread)
+    shops = stores.filter(F.coalesce("city", F.lit("")) != "")
+    few = cheapest_rows(shops, sold(base, "chain_id"), sold(exc, "store_id"), limit)
+    return F.broadcast(few).join(products.select("barcode", "name"), "barcode").select(
         "name", "barcode", "chain_id", "store_id", "agorot")
 
 

@@ -1,3 +1,3 @@
 """Registered queries, by subject."""
 
-from shelfwise.plans.queries import catalog, documents, files, mart, offers, places, prices, search  # noqa: F401
+from shelfwise.plans.queries import catalog, documents, feeds, files, mart, offers, places, prices, search  # noqa: F401

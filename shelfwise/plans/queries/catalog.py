@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text
 from shelfwise.operators import catalog, categories, names, offers, produce, quality
-from shelfwise.operators.prices import effective_prices, priced_items
+from shelfwise.operators.prices import priced_items
 from shelfwise.plans.bridge import TODAY, Bridge, ean
 from shelfwise.plans.registry import query
 
@@ -592,7 +592,7 @@ def orphan_prices(b: Bridge):
     ORDER BY e.agorot, e.barcode, e.chain_id, e.store_id LIMIT 3""", ("effective", "products"))
 def view_liveness(b: Bridge):
     _, base, exc = b.prices()
-    return quality.live_view(effective_prices(b.stores(), base, exc), b.products(), b.chains())
+    return quality.live_view(b.stores(), base, exc, b.products(), b.chains())
 
 
 @query("release_gate", """

@@ -99,15 +99,15 @@ def price_tier_stores(b: Bridge):
 
 
 @query("priceless_chain_removal", """
-    WITH s AS (SELECT n_name AS chain_id, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    WITH s AS (SELECT n_name AS chain_id, s_suppkey, s_nationkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
     SELECT chain_id, CAST(s_suppkey AS VARCHAR) AS store_id FROM s WHERE chain_id IN (
-        SELECT s.chain_id FROM lineitem JOIN s ON l_suppkey = s_suppkey WHERE l_quantity >= 50 AND s.s_suppkey % 2 = 0)""")
+        SELECT s.chain_id FROM lineitem JOIN s ON l_suppkey = s_suppkey WHERE s_nationkey % 3 <> 0)""")
 def priceless_chain_removal(b: Bridge):
-    shops = b.suppliers().select(F.col("city").alias("chain_id"), "store_id", "s_suppkey")
-    # Only bulk sales of stores with an even number give a price here.
-    bulk = b.table("lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_quantity")
-    priced = bulk.join(shops.select("s_suppkey", "chain_id"), "s_suppkey").filter("l_quantity >= 50 and s_suppkey % 2 = 0").select("s_suppkey", "chain_id")
-    return prices.drop_priceless(shops.drop("s_suppkey"), priced, ["store_id"])
+    """Nations as chains; every third one publishes stores but no prices."""
+    shops = b.suppliers().select(F.col("city").alias("chain_id"), "store_id", "s_suppkey", "s_nationkey")
+    sold = b.table("lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey")
+    priced = lookup_join(sold, shops.select("s_suppkey", "s_nationkey", "chain_id"), ["s_suppkey"], ["l_orderkey"], "inner").filter("s_nationkey % 3 <> 0")
+    return prices.drop_priceless(shops.drop("s_suppkey", "s_nationkey"), priced, ["store_id"])
 
 
 @query("sub_brand_split", """

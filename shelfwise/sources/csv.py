@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql import types as T
+
+from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join
 
 # Fixed value: the cell text that stands for a real empty string.
 EXPLICIT_EMPTY = "''"
@@ -13,56 +16,73 @@ def find_exports(spark: SparkSession, folder: str, file_type: str) -> DataFrame
     """Masked rows of ``<type>_*.csv``, else of the squashed spelling."""
     squashed = file_type.lower().replace("_file", "").replace("_", "")
     for stem in (file_type.lower(), squashed):
-        files = _listing(spark, folder, f"{stem}_*.csv")
-        if files:
-            return read_masked(spark, files)
+        found = read_masked(spark, folder, f"{stem}_*.csv")
+        if found is not None:
+            return found
     return None
 
 
-def _listing(spark: SparkSession, folder: str, glob: str) -> list[str]:
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    return sorted(r["path"] for r in reader.load(folder).select("path").collect())
+def _lines(spark: SparkSession, path, glob: str) -> DataFrame:
+    """Lines with the file, the split and the place in the split they come from."""
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return reader.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"), "value")
+
+
+def headers(lines: DataFrame) -> DataFrame:
+    """``_file`` and ``_header``: the first line of every file; only the files' first splits are looked at."""
+    first = F.min(F.when(F.trim("value") != "", F.struct("_row", "value")))
+    return lines.filter("_block = 0").groupBy("_file").agg(first["value"].alias("_header")).filter("_header is not null")
 
 
-def read_masked(spark: SparkSession, files: list[str], multi_line: bool = False) -> DataFrame:
-    """Rows of the files by header name, with masked cells filled.
+def read_masked(spark: SparkSession, path, glob: str = "*.csv") -> DataFrame | None:
+    """Rows of all files of a folder by header name, with masked cells filled; None when there is no file.
 
-    One export exists per chain and type, so the list of files is short; files
-    with the same header are read together. ``_file``, ``_block`` and ``_row``
-    give the order inside the data.
+    Files may differ in their columns. One job over first lines gives the different headers, of which there are few however many
+    files there are; all files are then parsed in one read, a cell found by the place its name has in the file's
+    header, null where it has none. A line equal to its file's header is one. ``_file``, ``_block`` and ``_row`` give the order
+    inside the data. A quoted cell does not span lines.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for name in files:
-        head = spark.read.option("header", True).csv(name).columns
-        by_header.setdefault(tuple(h.strip().lower() for h in head), []).append(name)
-    parts = []
-    for header, names in by_header.items():
-        schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-        rows = reader.option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(names)
-        located = rows.select(
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"), *header)
-        parts.append(unmask(located, list(header)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-def unmask(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Fill each masked cell from the nearest row above in the same file.
+    lines = _lines(spark, path, glob)
+    heads = headers(lines)
+    kinds = sorted(r["_header"] for r in heads.select("_header").distinct().collect())
+    if not kinds:
+        return None
+    cells = [_names(kind) for kind in kinds]
+    names = sorted({n for own in cells for n in own})
+    width = max(len(own) for own in cells)
+    number = F.create_map(*[x for k, kind in enumerate(kinds) for x in (F.lit(kind), F.lit(k))])
+    known = lookup_join(lines, heads.select("_file", number[F.col("_header")].alias("_kind"), "_header"), ["_file"], ["_block", "_row"], "inner", FEW_KEYS_WAYS)
+    body = known.filter((F.trim("value") != "") & (F.col("value") != F.col("_header")))
+    parsed = body.withColumn("_c", F.from_csv("value", ", ".join(f"c{k} string" for k in range(width))))
+    array = F.array(*[F.col(f"_c.c{k}") for k in range(width)])
+    place = lambda n: F.array(*[F.lit(own.index(n) if n in own else None).cast("int") for own in cells])
+    located = parsed.withColumn("_a", array).select(
+        "_file", "_block", "_row", "_kind", *[F.get("_a", F.get(place(n), F.col("_kind"))).alias(n) for n in names])
+    filled = unmask(located, names, ["_kind"])
+    return filled.select("_file", "_block", "_row", *[F.when(F.get(place(n), F.col("_kind")).isNotNull(), F.col(n)).alias(n) for n in names])
+
+
+def _names(header: str) -> list[str]:
+    """Column names of a header line, lower case; of a repeated name the first counts."""
+    [row] = csv.reader([header.removeprefix("\ufeff")])
+    return [n.strip().lower() for n in row]
+
+
+def unmask(rows: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
+    """Fill each masked cell from the nearest row above in the same file; columns of ``keep`` stay as they are.
 
     Cells are filled inside each split of a file; the last value of every split
     (one row per split) then tells the next one what to carry in. So no task
     holds more than one split, however large the file.
     """
-    cells = rows.select("_file", "_block", "_row", *[
+    place = ["_file", "_block", "_row", *(keep or [])]
+    cells = rows.select(*place, *[
         F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c)).alias(c) for c in columns])
     above = Window.partitionBy("_file", "_block").orderBy("_row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    filled = cells.select("_file", "_block", "_row", *[
+    filled = cells.select(*place, *[
         F.last(c, ignorenulls=True).over(above).alias(c) for c in columns])
 
     ends = cells.groupBy("_file", "_block").agg(*[
@@ -72,5 +92,5 @@ def unmask(rows: DataFrame, columns: list[str]) -> DataFrame:
         F.last(F.col(f"{c}.{c}"), ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns])
     joined = filled.join(carried, ["_file", "_block"], "left")
     value = lambda c: F.coalesce(F.col(c), F.col(f"_in_{c}"), F.lit(""))
-    return joined.select("_file", "_block", "_row", *[
+    return joined.select(*place, *[
         F.when(value(c) == EXPLICIT_EMPTY, "").otherwise(value(c)).alias(c) for c in columns])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gzip
 import xml.etree.ElementTree as ET
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,50 +63,109 @@ def sniffed_texts(files: DataFrame) -> DataFrame:
     return files.select("_file", "content").mapInPandas(per_batch, "_file string, kind string, content string")
 
 
-def _tag(element: ET.Element) -> str:
-    return element.tag.rpartition("}")[2].lower()
-
-
-def branch_elements(root: ET.Element) -> Iterator[tuple[str, dict[str, str]]]:
-    """(sub-chain id, direct fields) of every element that has a StoreID."""
-    stack = [(root, "")]
-    while stack:
-        element, sub = stack.pop()
-        fields = {_tag(c): (c.text or "").strip() for c in element}
-        if _tag(element) == "subchain":
-            sub = fields.get("subchainid") or sub
-        if fields.get("storeid"):
-            yield sub, fields
-        else:
-            stack.extend((c, sub) for c in reversed(list(element)))
+# Bytes handed to the parser at once.
+CHUNK = 1 << 16
+
+
+def _tag(name: str) -> str:
+    return name.rpartition("}")[2].lower()
+
+
+def walk(raw: bytes) -> Iterator[tuple[int, list[str], dict[str, str]]]:
+    """Elements of a document as they end: their number in order of their starts, the tags from the root, the direct fields.
+
+    Memory holds the open elements and the fields of each, never the tree. Raises ``ParseError`` at the first fault.
+    """
+    parser = ET.XMLPullParser(("start", "end"))
+    path: list[str] = []
+    fields: list[dict[str, str]] = []
+    opened: list[tuple[int, ET.Element]] = []
+    started = 0
+    for at in range(0, len(raw) or 1, CHUNK):
+        parser.feed(raw[at:at + CHUNK])
+        if at + CHUNK >= len(raw):
+            parser.close()
+        for event, element in parser.read_events():
+            if event == "start":
+                path.append(_tag(element.tag))
+                fields.append({})
+                opened.append((started, element))
+                started += 1
+                continue
+            number, _ = opened.pop()
+            yield number, path, fields.pop()
+            tag = path.pop()
+            if fields:
+                fields[-1][tag] = (element.text or "").strip()
+                opened[-1][1].remove(element)
+
+
+def branches_of(raw: bytes) -> list[tuple]:
+    """Branch records of a store file of any shape: every outermost element with a StoreID, under its nearest named sub-chain."""
+    found: list[list] = []
+    top: dict[str, str] = {}
+    for number, path, own in walk(raw):
+        inside = len(found)
+        while inside and found[inside - 1][0] > number:
+            inside -= 1
+        if own.get("storeid"):
+            found[inside:] = [[number, "", own["storeid"], own.get("storename"), own.get("city"), own.get("address")]]
+        elif path[-1] == "subchain" and own.get("subchainid"):
+            for record in found[inside:]:
+                record[1] = record[1] or own["subchainid"]
+        if len(path) == 1:
+            top = own
+    return [(top.get("chainid", ""), top.get("chainname"), *r[1:]) for r in found]
 
 
 def store_branches(files: DataFrame) -> DataFrame:
-    """Raw branch rows of store files of any shape, packing or encoding."""
+    """Raw branch rows of store files of any shape, packing or encoding; a file that does not parse gives none."""
     schema = ("_file string, chain_id string, chain_name string, subchain_id string, store_id string, "
               "store_name string, city string, address string")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
             for name, raw in zip(batch["_file"], batch["content"]):
                 _, plain = unpack(bytes(raw))
                 try:
-                    root = ET.fromstring(plain) if plain else None
+                    rows = branches_of(plain) if plain else []
                 except ET.ParseError:
-                    root = None
-                if root is None:
                     continue
-                top = {_tag(c): (c.text or "").strip() for c in root}
-                for sub, f in branch_elements(root):
-                    rows.append((name, top.get("chainid", ""), top.get("chainname"), sub, f["storeid"],
-                                 f.get("storename"), f.get("city"), f.get("address")))
-            yield pd.DataFrame(rows, columns=names)
+                if rows:
+                    yield pd.DataFrame([(name, *r) for r in rows], columns=names)
 
     return files.select("_file", "content").mapInPandas(per_batch, schema)
 
 
+def tag_paths(files: DataFrame) -> DataFrame:
+    """``path`` (tags below the root, joined by ``/``) and ``n``, of all elements of the files that parse.
+
+    Paths are counted while a file is parsed, and counts are added up: what travels are a file's different paths.
+    """
+
+    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            total: Counter[str] = Counter()
+            for raw in batch["content"]:
+                _, plain = unpack(bytes(raw))
+                own: Counter[str] = Counter()
+                try:
+                    own.update("/".join(path[1:]) for _, path, _ in walk(plain or b"") if len(path) > 1)
+                except ET.ParseError:
+                    continue
+                total.update(own)
+            yield pd.DataFrame(sorted(total.items()), columns=["path", "n"])
+
+    return files.select("content").mapInPandas(per_batch, "path string, n bigint").groupBy("path").agg(F.sum("n").alias("n"))
+
+
+def unknown_paths(files: DataFrame, known: list[str]) -> DataFrame:
+    """Paths that are neither known nor lead to a known one, with their counts."""
+    leading = sorted({"/".join(k.split("/")[:n]) for k in known for n in range(1, k.count("/") + 2)})
+    return tag_paths(files).filter(~F.col("path").isin(leading))
+
+
 def latest_branches(branches: DataFrame) -> DataFrame:
     """One row per branch; the file that sorts last wins."""
     rows = branches.withColumns({
