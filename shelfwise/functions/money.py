@@ -38,10 +38,6 @@ def discount_tenths(unit: Column, base: Column) -> Column:
     return F.when(base > 0, F.floor(share).cast("bigint"))
 
 
-def tenths_to_pct(tenths: Column) -> Column:
-    return (tenths.cast("decimal(12,0)") / F.lit(10).cast("decimal(2,0)")).cast("decimal(9,1)")
-
-
 def offer_key(chain: Column, barcode: Column, club: Column, coupon: Column,
               min_qty: Column, agorot: Column) -> Column:
     """Stable identity of an offer: its terms, never its published id."""

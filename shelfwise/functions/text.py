@@ -99,10 +99,6 @@ def raw_tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= 2))
 
 
-def index_text(c: Column) -> Column:
-    return F.array_join(tokens(c), " ")
-
-
 def name_terms(c: Column) -> Column:
     """Words a name shard is keyed by: quotes kept inside, never all digits."""
     words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(QUOTED_WORD), 0)

@@ -200,15 +200,26 @@ def drop_priceless(table: DataFrame, base: DataFrame, spread_by: list[str]) -> D
 def effective_prices(stores: DataFrame, base: DataFrame, exc: DataFrame) -> DataFrame:
     """Every store of a chain with every baseline item, exception first.
 
-    The fan-out is the result itself. Baselines are spread by barcode so that
-    a large chain is shared by many tasks.
+    The fan-out is the result itself. While the store list is small enough to send to every task, an item's rows are made
+    where its baseline is, less the stores that price it apart, and never move again; what an item can have of these
+    is bounded by that list. With a longer list the baselines meet the stores by chain, spread by item.
     """
     shops = stores.select(*STORE_KEY, *[c for c in ("city", "store_name", "priced_items") if c in stores.columns])
-    items = base.select(*ITEM_KEY, F.col("agorot").alias("_base"))
-    fanned = lookup_join(items, shops, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
-    own = exc.select(*PRICE_KEY, F.col("agorot").alias("_own"))
-    priced = fanned.join(own, PRICE_KEY, "left")
-    return priced.withColumn("agorot", F.coalesce("_own", "_base")).drop("_own", "_base")
+    if not fits_broadcast(shops):
+        items = base.select(*ITEM_KEY, F.col("agorot").alias("_base"))
+        fanned = spread_join(items, shops, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
+        own = exc.select(*PRICE_KEY, F.col("agorot").alias("_own"))
+        priced = fanned.join(own, PRICE_KEY, "left")
+        return priced.withColumn("agorot", F.coalesce("_own", "_base")).drop("_own", "_base")
+    rest, order = [c for c in shops.columns if c not in STORE_KEY], [*STORE_KEY, *[c for c in shops.columns if c not in STORE_KEY], "barcode", "agorot"]
+    listed = shops.groupBy("chain_id").agg(F.collect_set("store_id").alias("_all"))
+    apart = exc.groupBy(*ITEM_KEY).agg(F.collect_list(F.struct("store_id", "agorot")).alias("_apart"))
+    items = base.select(*ITEM_KEY, "agorot").join(apart, ITEM_KEY, "left").join(F.broadcast(listed), "chain_id")
+    own = F.coalesce("_apart", F.array().cast("array<struct<store_id:string,agorot:bigint>>"))
+    at_base = F.transform(F.array_except("_all", F.transform(own, lambda e: e["store_id"])), lambda s: F.struct(s.alias("store_id"), F.col("agorot")))
+    rows = items.select(*ITEM_KEY, F.explode(F.concat(own, at_base)).alias("_r")).select(*ITEM_KEY, "_r.store_id", "_r.agorot")
+    # Exceptions of stores that are not asked for go here.
+    return rows.join(F.broadcast(shops), STORE_KEY).select(*order) if rest else rows.join(F.broadcast(shops), STORE_KEY, "left_semi").select(*order)
 
 
 def observed_prices(latest: DataFrame, stores: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ All money is integer agorot, so both sides compute exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,7 @@ from shelfwise.operators import offers as offer_ops
 from shelfwise.operators import prices as price_ops
 from shelfwise.operators import search as search_ops
 from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, widen
+from shelfwise.session import cut_lineage
 
 TODAY = "1998-06-01"
 ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "agorot"]
@@ -34,6 +37,13 @@ class Bridge:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._once: dict[str, DataFrame] = {}
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that one query reads several times: built and stored at its first use, as the mart stores it."""
+        if name not in self._once:
+            self._once[name] = cut_lineage(build())
+        return self._once[name]
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
@@ -116,8 +126,8 @@ class Bridge:
         return price_ops.baselines(self.latest())
 
     def prices(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        latest = self.latest()
-        base = price_ops.baselines(latest)
+        latest = self.once("latest", self.latest)
+        base = self.once("base", lambda: price_ops.baselines(latest))
         return latest, base, price_ops.exceptions(latest, base)
 
     # --- offers
@@ -147,25 +157,30 @@ class Bridge:
         priced, _ = offer_ops.split_priced(self.offer_rows())
         return offer_ops.merge_offers(priced), offer_ops.offer_links(priced)
 
-    def read_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def stored_offers(self) -> tuple[DataFrame, DataFrame]:
+        """The same, each written once."""
         offers, links = self.offer_tables()
-        return offer_ops.read_merge(offers, links, TODAY)
+        return self.once("offers", lambda: offers), self.once("links", lambda: links)
+
+    def read_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return offer_ops.read_merge(*self.stored_offers(), TODAY)
 
     def kept(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         merged, links, everywhere = self.read_tables()
-        return (*offer_ops.prune_dominated(merged, links), everywhere)
+        live = self.once("live_links", lambda: links)
+        return (*offer_ops.prune_dominated(merged, live), everywhere)
 
     def chain_products(self) -> DataFrame:
         """Weighed items under the name that each chain gives them."""
         weighed = self.products().filter("is_weighted = 1").select("barcode", "name", "unit_qty", "unit_of_measure", "is_weighted")
-        sold = self.baselines().select("chain_id", "barcode").join(weighed, "barcode")
+        sold = self.once("base", self.baselines).select("chain_id", "barcode").join(weighed, "barcode")
         return sold.withColumn("name", F.concat_ws(" ", "name", F.lower("chain_id")))
 
     def deals(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Deals, their branch links and every chain's branches on offer."""
         kept, links, everywhere = self.kept()
         deals = offer_ops.build_deals(
-            kept, self.baselines(), self.products(), self.chain_products(), self.product_categories(),
+            kept, self.once("base", self.baselines), self.products(), self.chain_products(), self.product_categories(),
             sample_from=self.deal_key_sample())
         return deals, links, everywhere
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.operators import catalog, offers, prices, quality, search
+from shelfwise.operators.spread import max_by_order
 
 
 @dataclass
@@ -26,6 +27,58 @@ class Sources:
     today: str = ""
 
 
+@dataclass
+class Raw:
+    """Parts as published, before a build: rows of several feeds that may disagree on ids and names.
+
+    ``prices``: price rows with ``subchain_id``, ``name``, units and ``is_weighted``; ``stores``: branch rows with ``subchain_id``,
+    ``store_name``, ``city``, ``address`` and ``chain_name``; ``offers``: offer rows. The rest are lookups: ``brands`` (chain_id, sub,
+    brand_name), ``aliases`` (wrong_id, right_id), ``city_codes`` (code, city_name), ``branch_ids`` and ``locations``, ``display``
+    (chain_id, display_name).
+    """
+
+    prices: DataFrame
+    stores: DataFrame
+    offers: DataFrame
+    brands: DataFrame
+    aliases: DataFrame
+    city_codes: DataFrame
+    branch_ids: DataFrame
+    locations: DataFrame
+    display: DataFrame
+    product_categories: DataFrame
+    decided_names: DataFrame
+    order: list[str] = field(default_factory=list)
+    today: str = ""
+
+
+def prepare(raw: Raw) -> Sources:
+    """Sources of a build: mistaken chain ids put right, sub-brands split off, stores with their city, place and chain name.
+
+    Prices and offers published under a mistaken id move to the right one; its store rows go, since the right id has its own.
+    A product's own name in a chain is kept for weighed items, and for items other chains call by those barcodes.
+    """
+    fixed = prices.correct_chain_ids(raw.prices, raw.aliases, ["barcode"])
+    observed = prices.split_chains(fixed, raw.brands).drop("brand_name")
+    shops = prices.split_chains(prices.drop_aliased(raw.stores, raw.aliases), raw.brands)
+    shops = prices.resolve_cities(shops, raw.city_codes).withColumn("city", F.coalesce("city_name", F.lit("")))
+    shops = prices.locate_stores(shops, raw.branch_ids, raw.locations)
+    brands = shops.filter("brand_name is not null").select("chain_id", "brand_name").distinct()
+    named = shops.groupBy("chain_id").agg(F.min("chain_name").alias("file_name")).withColumn("source", F.col("chain_id"))
+    chains = prices.chain_names(named, brands, raw.display)
+    products = prices.product_rows(observed, raw.order)
+    # What a chain calls an item: its last named row.
+    keyed = observed.filter("coalesce(name, '') <> ''").withColumn("part", F.col("chain_id"))
+    kinds = ["name", "unit_qty", "unit_of_measure", "is_weighted"]
+    own = max_by_order(keyed, ["part", "barcode"], [F.col(c) for c in raw.order], kinds)
+    sold = observed.select(F.col("chain_id").alias("part"), "chain_id", "barcode").distinct()
+    claimed = catalog.weighed_products(own, sold)
+    return Sources(
+        prices=observed, stores=shops.drop("brand_name", "chain_name"), offers=prices.correct_chain_ids(raw.offers, raw.aliases, ["barcode"]),
+        chains=chains, products=products, product_categories=raw.product_categories, decided_names=raw.decided_names,
+        chain_products=catalog.claim_disagreements(claimed, own, sold), order=raw.order, today=raw.today)
+
+
 # Files are laid out by chain and sorted by barcode, so that a chain filter
 # prunes folders and a barcode filter skips row groups.
 LAYOUT = {

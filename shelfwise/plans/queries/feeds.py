@@ -15,7 +15,7 @@ from shelfwise.plans.queries.files import _element, _promotion_texts
 from shelfwise.plans.queries.places import DATES, KEYS_SQL, LEDGER, LEDGER_KEY, _ledger
 from shelfwise.plans.registry import query
 from shelfwise.session import shared_dir
-from shelfwise.sources import csv, lookups, payload
+from shelfwise.sources import csv, lookups, payload, xml
 from shelfwise.streaming import jobs
 
 
@@ -113,6 +113,28 @@ def unknown_tag_paths(b: Bridge):
     return payload.unknown_paths(_branch_files(b), known)
 
 
+@query("flat_store_files", """
+    SELECT CAST(s_nationkey AS VARCHAR) AS chainid, 'c' AS chainname, CAST(s_suppkey % 3 AS VARCHAR) AS subchainid, CAST(s_suppkey * 2 + x AS VARCHAR) AS storeid,
+           s_name AS storename, CASE WHEN x = 1 THEN 'Town' END AS city FROM supplier, (SELECT unnest([0, 1]) AS x)""")
+def flat_store_files(b: Bridge):
+    key = F.col("s_suppkey")
+    store = lambda x: _element("store", F.concat(_element("storeid", key * 2 + x), _element("storename", F.col("s_name")), _element("city", "Town") if x else F.lit("")))
+    content = F.concat(F.lit("<root>"), _element("chainid", F.col("s_nationkey")), _element("chainname", "c"), F.lit("<subchains><subchain>"),
+                       _element("subchainid", key % 3), F.lit("<stores>"), store(0), store(1), F.lit("</stores></subchain></subchains></root>"))
+    texts = b.table("supplier").select(key.cast("string").alias("_file"), content.alias("content"))
+    return xml.flat_stores(texts).select("chainid", "chainname", "subchainid", "storeid", "storename", "city")
+
+
+@query("flat_promotion_files", """
+    WITH g AS (SELECT l_orderkey, l_partkey, unnest(CASE l_linenumber WHEN 1 THEN [''] WHEN 2 THEN ['', ''] WHEN 3 THEN ['0', '', ''] WHEN 4 THEN ['', '9']
+        WHEN 5 THEN ['', ''] WHEN 6 THEN [] ELSE ['', ''] END) AS extra FROM lineitem)
+    SELECT ltrim(l_orderkey || '1', '0') AS promotion, CASE extra WHEN '0' THEN '0000000000000' ELSE '729' || reverse(lpad(CAST(l_partkey AS VARCHAR), 9, '0')) || extra END AS item,
+           count(*) AS lines FROM g GROUP BY ALL""")
+def flat_promotion_files(b: Bridge):
+    rows = xml.flat_promotions(_promotion_texts(b))
+    return rows.groupBy(F.regexp_replace("PromotionID", "^0+", "").alias("promotion"), F.col("ItemCode").alias("item")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 # --- ingest ------------------------------------------------------------------------
 
 

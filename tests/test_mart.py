@@ -141,3 +141,32 @@ def test_alert_stream_forgets_after_the_end(spark, tmp_path):
         assert send(("a", 12, 28), ("b", 12, 22)) == [("a", 1), ("a", 12), ("b", 1), ("c", 10)]   # a had ended
     finally:
         spark.conf.set(provider, before)
+
+
+def test_prepared_sources_have_right_ids_brands_cities_and_names(spark):
+    frame = lambda data, ddl: spark.createDataFrame(data, ddl)
+    price = "chain_id string, subchain_id string, store_id string, barcode string, agorot bigint, name string, manufacturer string, unit_qty string, " \
+            "quantity decimal(10,3), unit_of_measure string, is_weighted int, at int"
+    row = lambda chain, sub, store, code, agorot, name, weighed, at: (chain, sub, store, code, agorot, name, "", "kilo", None, "", weighed, at)
+    raw = mart.Raw(
+        prices=frame([row("1", "1", "5", "7290001", 100, "apple", 1, 1), row("1", "2", "6", "7290001", 120, "red apple", 1, 2),
+                      row("9", "1", "5", "7290002", 300, "bread", 0, 3), row("2", "", "7", "7290001", 90, "APPLE", 0, 4), row("2", "", "7", "7290002", 310, "", 0, 5)], price),
+        stores=frame([("1", "1", "5", "north", "five", "0070", "a"), ("1", "2", "6", "north", "six", " Old  Town ", "b"), ("9", "1", "5", "wrong", "x", "", ""),
+                      ("2", "", "7", None, "seven", "unknown", "c")],
+                     "chain_id string, subchain_id string, store_id string, chain_name string, store_name string, city string, address string"),
+        offers=frame([("9", "5", "7290002")], "chain_id string, store_id string, barcode string"),
+        brands=frame([("1", "002", "North Express")], "chain_id string, sub string, brand_name string"),
+        aliases=frame([("9", "1")], "wrong_id string, right_id string"),
+        city_codes=frame([("70", "Seventown")], "code string, city_name string"),
+        branch_ids=frame([("1", "5", "u5")], "chain_id string, store_id string, branch_uid string"),
+        locations=frame([("u5", 32.0, 34.8, "address")], "branch_uid string, lat double, lon double, precision string"),
+        display=frame([("2", "Second")], "chain_id string, display_name string"),
+        product_categories=frame([], "barcode string, category_id int"), decided_names=frame([], "barcode string, name string"), order=["at"], today="2025-01-01")
+    src = mart.prepare(raw)
+    assert rows(src.prices, "chain_id", "store_id", "barcode") == [("1", "5", "7290001"), ("1", "5", "7290002"), ("1-002", "6", "7290001"), ("2", "7", "7290001"), ("2", "7", "7290002")]
+    assert rows(src.stores, "chain_id", "store_id", "city", "branch_uid", "lat") == [
+        ("1", "5", "Seventown", "u5", 32.0), ("1-002", "6", "Old Town", None, None), ("2", "7", "", None, None)]
+    assert rows(src.chains, "chain_id", "name") == [("1", "north"), ("1-002", "North Express"), ("2", "Second")]
+    assert rows(src.offers, "chain_id") == [("1",)]
+    assert rows(src.chain_products, "chain_id", "barcode", "name") == [("1", "7290001", "apple"), ("1-002", "7290001", "red apple"), ("2", "7290001", "APPLE")]
+    assert rows(src.products, "barcode", "name") == [("7290001", "APPLE"), ("7290002", "bread")]

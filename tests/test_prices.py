@@ -108,3 +108,23 @@ def test_salted_join_equals_plain_join(spark):
     small = spark.createDataFrame([("hot", 1), ("7", 2)], "k string, v int")
     for how in ("inner", "left", "left_semi", "left_anti"):
         assert rows(spread.spread_join(big, small, ["k"], ["id"], how)) == rows(big.join(small, "k", how))
+
+
+def test_fan_out_is_not_shuffled_and_both_ways_agree(spark, tmp_path, capsys):
+    spark.createDataFrame([(c, f"s{k}", "T") for c in "AB" for k in range(30)] + [("D", "s1", "T")],
+                          "chain_id string, store_id string, city string").write.parquet(str(tmp_path / "stores"))
+    shops = spark.read.parquet(str(tmp_path / "stores"))
+    base = spark.createDataFrame([(c, str(k), 100 + k, 3) for c in "ABC" for k in range(40)], "chain_id string, barcode string, agorot bigint, store_count int")
+    exc = spark.createDataFrame([(c, f"s{k}", str(k % 9), 7 + k) for c in "AC" for k in range(0, 40, 3)], "chain_id string, store_id string, barcode string, agorot bigint")
+    near = prices.effective_prices(shops, base, exc)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        far = rows(prices.effective_prices(shops, base, exc), "chain_id", "store_id", "city", "barcode", "agorot")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(near, "chain_id", "store_id", "city", "barcode", "agorot") == far and len(far) == 2 * 30 * 40
+    near.explain()
+    plan = capsys.readouterr().out
+    above = plan[:plan.index("Generate")]
+    assert "Exchange hash" not in above
