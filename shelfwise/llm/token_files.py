@@ -13,10 +13,12 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -34,7 +36,12 @@ _BLOCK = "part int, seq int, n_ids bigint, docs binary, sizes binary, checkpoint
 _BLOCK_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("docs", pa.binary()), ("sizes", pa.binary()), ("checkpoints", pa.binary()), ("bits", pa.binary())])
 # How the file that words are cut by says that it drops white space, folds case and splits.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_PLAIN = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+")
+# Printable ASCII and the letters of Latin-1 in UTF-8: lower case goes letter by letter there, and nothing is composed.
+_LATIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# Byte-level files write the bytes that do not print as the characters from 256 on, in order.
+_BYTES = {b: chr(b) for b in (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))}
+_BYTES.update({b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _BYTES)})
 _NO_ID = np.iinfo(np.int64).min
 
 
@@ -42,10 +49,25 @@ def _by_word(spec: dict) -> bool:
     """Whether a text's ids are those of its white-space-separated words, one after another."""
     steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
     split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-    return (steps == ["NFC", "Replace", "Lowercase"] and split.get("type") == "Split" and split.get("behavior") == "Removed"
+    level = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[-1]
+    return (steps == ["NFC", "Replace", "Lowercase"] and level.get("type") == "ByteLevel" and level.get("add_prefix_space") is False
+            and level.get("use_regex") is False and split.get("type") == "Split" and split.get("behavior") == "Removed"
             and split.get("invert") is True and split.get("pattern") == {"Regex": _SPLIT})
 
 
+def _distinct(parts: list[words.Slice]) -> tuple[list[bytes], np.ndarray]:
+    """As :func:`words.distinct`, in order of appearance: a hash table instead of a sort."""
+    index, _ = pd.factorize(np.concatenate([p.word_hashes() for p in parts]))
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(index), prepend=-1))
+    begin = np.concatenate([[0], np.cumsum([len(p.starts) for p in parts])])
+    found = []
+    for p, a, b in zip(parts, begin, begin[1:]):
+        own = first[np.searchsorted(first, a):np.searchsorted(first, b)] - a
+        raw = p.data.tobytes()
+        found += [raw[s:e] for s, e in zip(p.starts[own].tolist(), p.ends[own].tolist())]
+    return found, index
+
+
 class Encoder:
     """Ids of words by the tokenizers library, each different word once while it is remembered."""
 
@@ -57,37 +79,44 @@ class Encoder:
         self.by_word = _by_word(json.loads(spec))
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() < 1 << 16 else np.uint32
+        self.code = np.dtype(self.kind).char
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.kind).tobytes()
+        written = piece if piece.isascii() else "".join([_BYTES[b] for b in piece.encode()])
+        ids = self.pieces[piece] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
         return ids
 
     def learn(self, found: list[bytes]) -> None:
         """Remember the ids of ``found``.
 
-        Printable ASCII needs no normalisation but case, and its pieces are those of the file's pattern, so the
-        library's model is asked for them piece by piece; everything else goes through the whole library.
+        Printable ASCII and Latin-1 letters need no normalisation but case, and their pieces are those of the file's
+        pattern, so the library's model is asked for them piece by piece; everything else goes through the whole library.
         """
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
         if len(self.pieces) > KEPT_WORDS:
             self.pieces.clear()
-        others = []
+        # No word holds a line end, so it can part the words of one long text; an id that no piece has stands for it.
+        mark = np.iinfo(self.kind).max
+        self.pieces["\n"] = array(self.code, [mark]).tobytes()
+        plain, others, latin = [], [], _LATIN.fullmatch
         for w in found:
-            if w in self.words:
-                continue
-            if w.isascii() and b"<|" not in w and w.decode().isprintable():
-                self.words[w] = b"".join(map(self._piece, _PLAIN.findall(w.decode().lower())))
-            else:
-                others.append(w)
+            if w not in self.words:
+                (plain if latin(w) and b"<|" not in w else others).append(w)
+        if plain:
+            pieces = _PLAIN.findall(b"\n".join(plain).decode().lower() + "\n")
+            for p in set(pieces).difference(self.pieces):
+                self._piece(p)
+            raw = b"".join(map(self.pieces.__getitem__, pieces))
+            ends = np.flatnonzero(np.frombuffer(raw, self.kind) == mark) * self.kind().itemsize
+            starts = np.concatenate([[0], ends[:-1] + self.kind().itemsize])
+            self.words.update(zip(plain, [raw[x:y] for x, y in zip(starts.tolist(), ends.tolist())]))
         for w, ids in zip(others, self.whole([w.decode("utf-8", "replace") for w in others])):
-            self.words[w] = np.array(ids, self.kind).tobytes()
+            self.words[w] = array(self.code, ids).tobytes()
 
     def texts(self, parts: list[words.Slice], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, ``end`` after each, and how many each has."""
@@ -95,7 +124,7 @@ class Encoder:
         if not self.by_word:
             each = self.whole([p.text(i).decode("utf-8", "replace") for p in parts for i in range(p.n)])
             return np.array([i for ids in each for i in [*ids, end]], np.int64), np.array([len(ids) + 1 for ids in each], np.int64)
-        found, index = words.distinct(parts)
+        found, index = _distinct(parts)
         self.learn(found)
         raw = [self.words[w] for w in found]
         flat = np.frombuffer(b"".join(raw), self.kind)
@@ -201,7 +230,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
     for r in each.groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most a row per id of the vocabulary
         counts[r.id] = r.n
     lengths = huffman.code_lengths(counts)
-    kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+    kind = np.uint16 if vocabulary < 1 << 16 else np.uint32
     code = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(code, "id int, length int").coalesce(1).write.parquet(f"{path}/code")
     packed = raw.where("seq >= 0").select("part", "seq", "docs", "sizes", "ids").mapInArrow(_packer(spark.sparkContext.broadcast(lengths), kind), _BLOCK)

@@ -81,3 +81,23 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()]
     assert [tuple(r) for r in op6_token_files(spark, folder).orderBy("start").collect()] == want(rows)
+
+
+def test_words_equal_the_library_letter_by_letter():
+    """Random words of printable ASCII, Latin-1 and beyond, special marks and broken bytes included."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shelfwise.llm.token_files import Encoder
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(4)
+    with open(path) as file:
+        encoder = Encoder(file.read())
+    whole = Tokenizer.from_file(path)
+    marks = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x180))] + ["İ", "Σ", "ς", "ﬁ", "e\u0301", "中", "٣", "<|endoftext|>", "\u00ad", "\u00a0", "'s"]
+    found = list(dict.fromkeys("".join(rng.choice(marks) for _ in range(rng.randrange(1, 9))).encode() for _ in range(20_000)))
+    encoder.learn(found)
+    for w, e in zip(found, whole.encode_batch([w.decode() for w in found], add_special_tokens=False)):
+        assert np.frombuffer(encoder.words[w], encoder.kind).tolist() == e.ids, w
