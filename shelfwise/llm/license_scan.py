@@ -248,8 +248,8 @@ def license_scan(docs: DataFrame, model: Classifier, id_col: str = "doc_id", tex
     trigger = _trigger(model)
     base = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     base = base.withColumn("_h", F.xxhash64("_text"))
-    # Texts without a trigger hold no feature; of the others equal rows are judged once.
-    texts = base.where(F.lower("_text").rlike(trigger))
+    # Texts without a trigger hold no feature; the others are stored once for the three kinds of units.
+    texts = tables.stage(base.where(F.lower("_text").rlike(trigger)), "triggered")
     vocabulary, has = list(model.weights), F.lower("text").rlike(trigger)
     templates = F.broadcast(_templates(spark))
     runs = [r.run for r in templates.select("run").distinct().collect()]
