@@ -74,18 +74,14 @@ def test_changed_chain_alone_is_rebuilt_and_equals_a_full_build(spark, tmp_path)
     assert rows(second.table("category_counts"), "category_id", "count") == [(1, 2), (5, 2)]
     # The first run is whole as before.
     assert {r.chain_id for r in first.table("chain_prices").collect()} == set("ABC")
+    # Where nothing changed, no chain is built.
+    third = build("r3", changed, "r2")
+    assert {c: r["run"] for c, r in third.chains().items()} == {"A": "r1", "B": "r2"} and not (tmp_path / "run=r3" / "chain_prices").exists()
+    assert rows(third.deals().select("deal_id", "chain_id", "barcode", "unit_agorot")) == rows(second.deals().select("deal_id", "chain_id", "barcode", "unit_agorot"))
     mart.publish(spark, str(tmp_path), "r2", {})
     assert mart.current_run(spark, str(tmp_path)) == "r2"
 
 
-def test_nothing_changed_builds_no_chain(spark, tmp_path):
-    data = prices_of("AB")
-    build = lambda run, previous: incremental.build(spark, str(tmp_path), run, sources(spark, data), files_of(spark, data), kinds(spark), "2025-01-01", previous)
-    first, second = build("r1", None), build("r2", "r1")
-    assert {r["run"] for r in second.chains().values()} == {"r1"} and not (tmp_path / "run=r2" / "chain_prices").exists()
-    assert contents(first) == contents(second)
-
-
 def test_broken_off_run_is_written_again_without_leftovers(spark, tmp_path):
     build = lambda chains: incremental.build(spark, str(tmp_path), "r1", sources(spark, prices_of(chains)), files_of(spark, prices_of(chains)), kinds(spark), "2025-01-01")
     build("ABC")

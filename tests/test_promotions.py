@@ -83,13 +83,25 @@ def test_flat_dialect_and_header_spellings(spark):
 
 @pytest.mark.parametrize("club, flag", [("", 0), ("0", 0), ("1=", 1), ("1=friends", 1), ("(1=a)&(3=b)", 1), ("(0", 0)])
 def test_club_flag(spark, club, flag):
-    df = spark.createDataFrame([(club, None)], "c string, n array<string>")
+    df = spark.createDataFrame([(club, None)], "c string, n string")
     assert df.select(promotions.club_flag(F.col("c"), F.col("n"))).first()[0] == flag
 
 
-def test_nested_clubs_count_when_the_id_is_blank(spark):
-    df = spark.createDataFrame([(None, ["0"]), ("", ["4"])], "c string, n array<string>")
-    assert [r[0] for r in df.select(promotions.club_flag(F.col("c"), F.col("n"))).collect()] == [0, 1]
+def test_nested_clubs_of_any_tag_count_when_the_id_is_blank(spark):
+    nested = [None, "", "<ClubId>0</ClubId>", "<ClubId>4</ClubId>", "<Any a='1'>0=all</Any>", "<Any>1</Any><Other/>", "<Any><Deep/></Any>", "4"]
+    df = spark.createDataFrame([(None, n) for n in nested], "c string, n string")
+    assert [r[0] for r in df.select(promotions.club_flag(F.col("c"), F.col("n"))).collect()] == [0, 0, 0, 1, 0, 1, 0, 0]
+    got = parse(spark, file(group(item(CODE, "1", "5")), head="<ClubID></ClubID><Clubs><Yellow>7 &amp; 8</Yellow></Clubs>"), file(group(item(CODE, "1", "5"))))
+    assert rows(got, "club") == [(0,), (1,)]
+
+
+def test_items_below_a_promotion_go_by_any_tag(spark):
+    flat = f"<PromotionItems><Thing><ItemCode>{CODE}</ItemCode><Text>a &amp; b</Text></Thing><ItemX><ItemCode> {OTHER} </ItemCode></ItemX></PromotionItems>"
+    priced = (f"<PromotionItems><PromotionItem><ItemCode>{CODE}</ItemCode><Text>a &amp; b</Text><MinQty>2</MinQty><DiscountedPrice>9</DiscountedPrice></PromotionItem>"
+              "</PromotionItems>")
+    terms_of = "<MinQty>3</MinQty><DiscountedPrice>12</DiscountedPrice>"
+    assert [t[:3] for t in terms(spark, file(head=terms_of + flat))] == [(CODE, 3.0, 1200), (OTHER, 3.0, 1200)]
+    assert [t[:3] for t in terms(spark, file(head=terms_of + priced))] == [(CODE, 2.0, 900)]
 
 
 STAGED = ("chain_id string, store_id string, barcode string, club int, coupon int, min_qty decimal(10,3), known_agorot long, "
