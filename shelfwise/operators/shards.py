@@ -97,10 +97,22 @@ def write_shards(docs: DataFrame, path: str) -> None:
     docs.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("shard").json(path)
 
 
-def shard_index(shards: DataFrame, levels: tuple[int, ...], built_at: str) -> DataFrame:
-    """The published index: levels and the sorted shard list, at most 20,000."""
+def limited(files: Column, strict: bool, message: Column) -> Column:
+    """``files`` as it is, or with ``strict`` an error where the host's limit is passed."""
+    return F.when(files > MAX_FILES, F.raise_error(message)).otherwise(files) if strict else files
+
+
+def shard_index(shards: DataFrame, levels: tuple[int, ...], built_at: str, strict: bool = True) -> DataFrame:
+    """The published index: levels and the sorted shard list.
+
+    More than 20,000 shards are an error, or with ``strict`` off an index that :func:`over_limit` reports.
+    """
     names = shards.select("shard").distinct()
     out = names.agg(F.count(F.lit(1)).alias("files"), F.sort_array(F.collect_set("shard")).alias("shards"))
-    checked = F.when(F.col("files") > MAX_FILES, F.raise_error(F.lit("too many shard files"))).otherwise(F.col("files"))
-    return out.select(checked.alias("files"), "shards",
+    return out.select(limited(F.col("files"), strict, F.lit("too many shard files")).alias("files"), "shards",
                       F.array(*[F.lit(n) for n in levels]).alias("levels"), F.lit(built_at).alias("built_at"))
+
+
+def over_limit(index: DataFrame) -> DataFrame:
+    """Must be empty before an index is published: its number of files, where the host does not take so many."""
+    return index.filter(F.col("files") > MAX_FILES).select("files")

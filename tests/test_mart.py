@@ -93,6 +93,17 @@ def test_shard_files_hold_their_documents(spark, tmp_path):
         shards.shard_index(many, (3,), "x").collect()
 
 
+def test_index_beyond_the_limit_is_whole_but_not_published(spark, tmp_path):
+    many = spark.range(20_001).select(F.format_string("%05d", F.col("id")).alias("shard"))
+    index = shards.shard_index(many, (3,), "x", strict=False)
+    one = index.first()
+    assert one.files == 20_001 and one.shards == [f"{k:05d}" for k in range(20_001)]
+    with pytest.raises(ValueError, match="files"):
+        mart.publish(spark, str(tmp_path), "r1", {"files": shards.over_limit(index)})
+    mart.publish(spark, str(tmp_path), "r2", {"files": shards.over_limit(shards.shard_index(many.limit(20_000), (3,), "x"))})
+    assert mart.current_run(spark, str(tmp_path)) == "r2"
+
+
 def test_ids_are_stable_and_append_only(spark):
     known = spark.createDataFrame([("A", "old")], "chain_id string, uid string")
     seen = spark.createDataFrame([("A",), ("B",), ("B",)], "chain_id string")
