@@ -193,16 +193,17 @@ def count_of(rows: DataFrame) -> Column:
 
 
 def catalog_index(products: DataFrame, chains: DataFrame, chain_as_of: DataFrame, promo_barcodes: DataFrame, built_at: str,
-                  other_files: Column, levels=shards.COUNT_LEVELS, max_items: int = shards.MAX_ITEMS) -> DataFrame:
+                  other_files: Column, levels=shards.COUNT_LEVELS, max_items: int = shards.MAX_ITEMS, strict: bool = True) -> DataFrame:
     """The catalog's index in one row: ``files`` of the whole catalog, checked against the host's limit, and ``json``.
 
-    ``other_files`` counts the files of the other kinds (:func:`count_of`).
+    ``other_files`` counts the files of the other kinds (:func:`count_of`). With ``strict`` off an index beyond the limit is
+    made all the same, and ``shards.over_limit`` reports it.
     """
     placed = shards.by_count(products.select("barcode"), levels, max_items).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
     one = placed.agg(F.sort_array(F.collect_list("shard")).alias("shards"), F.sum("n").alias("products"), F.count(F.lit(1)).alias("own"))
     total = F.col("own") + other_files + SIDE_FILES
-    files_checked = F.when(total > shards.MAX_FILES, F.raise_error(F.concat(
-        total.cast("string"), F.lit(f" files exceed the limit of {shards.MAX_FILES}")))).otherwise(total).cast("bigint")
+    message = F.concat(total.cast("string"), F.lit(f" files exceed the limit of {shards.MAX_FILES}"))
+    files_checked = shards.limited(total, strict, message).cast("bigint")
     body = F.concat(
         F.lit(f'{{"levels":[{",".join(map(str, levels))}],"shards":['), F.array_join(F.transform("shards", quoted), ","),
         F.lit('],"chains":'), json_map(chains, "chain_id", "name"), F.lit(',"built_at":'), quoted(F.lit(built_at)),

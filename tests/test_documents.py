@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import documents, offers
+from shelfwise.operators import documents, offers, shards
 from tests.conftest import rows
 
 
@@ -98,6 +98,9 @@ def test_index_and_meta(spark):
         "chain_as_of": {"A": "2025-01-01"}, "products": 30, "promo_products": 2}
     with pytest.raises(Exception, match="exceed the limit"):
         documents.catalog_index(products, chains, as_of, promo, "", F.lit(20_000), (3, 4), 15).collect()
+    whole = documents.catalog_index(products, chains, as_of, promo, "", F.lit(20_000), (3, 4), 15, strict=False)
+    assert whole.first().files == 20_008 and json.loads(whole.first().json)["shards"] == ["0000", "0001", "0002"]
+    assert [r.files for r in shards.over_limit(whole).collect()] == [20_008]
     stores = spark.createDataFrame([(c, str(k), None, "Town", k) for c in "AB" for k in range(50)],
                                    "chain_id string, store_id string, store_name string, city string, priced_items bigint")
     found = [json.loads(r.json) for r in documents.meta_documents(products, promo, chains, as_of, stores, "2025-01-02", 300).collect()]
