@@ -17,6 +17,7 @@ from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join
 # Fixed value: an offer without an end.
 OPEN_END = "9999-12-31"
 TERMS = ["chain_id", "barcode", "club", "coupon", "min_qty", "agorot"]
+MARKS = 1024
 
 
 def is_current(built_at: Column, today: str) -> Column:
@@ -24,6 +25,10 @@ def is_current(built_at: Column, today: str) -> Column:
     return F.substring(built_at.cast("string"), 1, 10) == today
 
 
+def _mark(*names: str) -> Column:
+    return F.pmod(F.xxhash64(*names), F.lit(MARKS)).cast("smallint")
+
+
 def candidate_alerts(favourites: DataFrame, shops: DataFrame, offers: DataFrame, links: DataFrame,
                      base: DataFrame, today: str) -> DataFrame:
     """Live offers on each user's favourites at branches the user shops at.
@@ -39,11 +44,14 @@ def candidate_alerts(favourites: DataFrame, shops: DataFrame, offers: DataFrame,
     day = F.lit(today).cast("date")
     live = offers.filter((F.col("ends").isNull() | (F.col("ends") >= day))
                          & (F.col("starts").isNull() | (F.col("starts") <= day)))
-    mine = lookup_join(wanted, live, ["barcode"], ["user_id"], "inner")
-    visits = mine.select("user_id", *READ_TERMS).join(shops, ["user_id", "chain_id"])
-    at = visits.join(links, [*READ_TERMS, "store_id"], "left_semi")
+    # Pairs of a favourite and an offer's branch are judged where they are made, by the marks of the user's branches: those of
+    # other branches never reach a shuffle. Marks are few numbers, so some pass by chance; the semi join decides.
+    marked = wanted.join(shops.groupBy("user_id").agg(F.collect_set(_mark("chain_id", "store_id")).alias("_marks")), "user_id")
+    running = links.join(live.select(*READ_TERMS), READ_TERMS, "left_semi").withColumn("_mark", _mark("chain_id", "store_id"))
+    near = lookup_join(marked, running, ["barcode"], ["user_id"], "inner").filter(F.array_contains("_marks", F.col("_mark")))
+    at = near.select("user_id", *READ_TERMS, "store_id").join(shops, ["user_id", "chain_id", "store_id"], "left_semi")
     branch = at.groupBy("user_id", *READ_TERMS).agg(F.min("store_id").alias("store_id"))
-    found = mine.join(branch, ["user_id", *READ_TERMS])
+    found = branch.join(live, READ_TERMS)
     shelf = base.select(*ITEM_KEY, F.col("agorot").alias("shelf"))
     out = lookup_join(found, shelf, ITEM_KEY, ["user_id"])
     return out.withColumns({

@@ -221,3 +221,26 @@ def test_display_order_is_a_column(spark):
     data = spark.createDataFrame([("A", "2", 5, 0), ("A", "1", 9, 0), ("B", "1", 4, 1), ("B", "1", 4, 0)], "chain_id string, barcode string, unit_agorot bigint, club int")
     got = alerts.display_order(data, ["club"]).orderBy("position").collect()
     assert [(r.chain_id, r.barcode, r.club, r.position) for r in got] == [("B", "1", 0, 1), ("B", "1", 1, 2), ("A", "2", 0, 3), ("A", "1", 0, 4)]
+
+
+def test_alerts_judge_branches_where_pairs_are_made(spark, monkeypatch):
+    terms = "chain_id string, barcode string, club int, coupon int, min_qty decimal(10,3), unit_agorot bigint"
+    from decimal import Decimal
+
+    key = lambda chain, barcode, unit: (chain, barcode, 0, 0, Decimal(1), unit)
+    offers = spark.createDataFrame([
+        (*key("A", "7290000000017", 500), 500, None, None), (*key("A", "7290000000017", 400), 400, None, None),
+        (*key("B", "7290000000024", 300), 300, None, None)], terms + ", agorot bigint, starts date, ends date")
+    links = spark.createDataFrame(
+        [(*key("A", "7290000000017", 500), s) for s in ("3", "2", "9")] + [(*key("A", "7290000000017", 400), "7"), (*key("B", "7290000000024", 300), "2")],
+        terms + ", store_id string")
+    favourites = spark.createDataFrame([(1, "7290000000017"), (1, "7290000000024"), (2, "7290000000017")], "user_id bigint, barcode string")
+    shops = spark.createDataFrame([(1, "A", "2"), (1, "A", "3"), (1, "A", "4"), (2, "B", "2")], "user_id bigint, chain_id string, store_id string")
+    base = spark.createDataFrame([("A", "7290000000017", 900)], "chain_id string, barcode string, agorot bigint")
+    for marks in (1024, 1):  # with one mark every pair passes, and the semi join decides alone
+        monkeypatch.setattr(alerts, "MARKS", marks)
+        found = alerts.candidate_alerts(favourites, shops, offers, links, base, "2026-09-10")
+        assert rows(found, "user_id", "chain_id", "barcode", "unit_agorot", "store_id") == [(1, "A", "7290000000017", 500, "2")]
+    # Other branches are dropped by the join that makes the pairs, before any shuffle of them.
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "array_contains(_marks" in line]
+    assert joins and all("Join Inner" in line for line in joins)

@@ -181,3 +181,10 @@ def test_prepared_sources_have_right_ids_brands_cities_and_names(spark):
     assert rows(src.offers, "chain_id") == [("1",)]
     assert rows(src.chain_products, "chain_id", "barcode", "name") == [("1", "7290001", "apple"), ("1-002", "7290001", "red apple"), ("2", "7290001", "APPLE")]
     assert rows(src.products, "barcode", "name") == [("7290001", "APPLE"), ("7290002", "bread")]
+
+
+def test_stored_tables_are_read_by_column(spark):
+    kept = cut_lineage(spark.range(3).selectExpr("id", "id * 2 AS twice", "cast(null AS date) AS day"))
+    plan = kept.select("twice")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<twice:bigint>" in plan and "Range" not in plan
+    assert rows(kept.select("id", "day")) == [(0, None), (1, None), (2, None)]
