@@ -105,3 +105,15 @@ def test_cheapest_rows_equal_the_fan_out(spark, seed):
         want = every.orderBy("agorot", "barcode", "chain_id", "store_id").limit(limit)
         got = quality.live_view(shops, prices_of, apart, products, chains, limit)
         assert rows(got, "name", "barcode", "chain_id", "store_id", "agorot") == rows(want, "name", "barcode", "chain_id", "store_id", "agorot")
+
+
+def test_readable_and_unreadable_files_come_from_one_parse(spark):
+    from shelfwise.sources import xml
+
+    good = "<Root><ChainID>1</ChainID><StoreId>2</StoreId></Root>"
+    texts = spark.createDataFrame([("a", good), ("b", good[:20]), ("c", None)], "_file string, content string")
+    docs = xml.judged_promotions(texts)
+    assert rows(docs, "_file", "readable") == [("a", True), ("b", False), ("c", False)]
+    assert rows(docs.filter("not readable"), "_file") == rows(xml.unreadable(texts))
+    assert rows(docs.filter("readable"), "_file", "doc.ChainID") == rows(xml.parse_promotions(texts), "_file", "doc.ChainID")
+    assert docs._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 1
