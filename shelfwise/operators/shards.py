@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions import text
 from shelfwise.operators.spread import lookup_join, max_by_order
+from shelfwise.session import cut_lineage
 
 # Prefix lengths and limits of the published files.
 COUNT_LEVELS, MAX_ITEMS = (3, 6, 8), 2_000
@@ -74,7 +75,8 @@ def name_shards(term_rows: DataFrame, levels=NAME_LEVELS, limit: int = NAME_CHAR
     whose words end at the prefix stays.
     """
     plain = F.translate(F.col("term"), text.QUOTE_MARKS, "")
-    rows = term_rows.select(plain.alias("w"), "barcode", "chars").filter(F.length("w") >= levels[0])
+    # Every level reads the rows several times; they are stored, so that the names are cut into words once.
+    rows = cut_lineage(term_rows.select(plain.alias("w"), "barcode", "chars").filter(F.length("w") >= levels[0]))
     done, shards = None, rows
     for at, level in enumerate(levels):
         last = at == len(levels) - 1

@@ -244,3 +244,13 @@ def test_alerts_judge_branches_where_pairs_are_made(spark, monkeypatch):
     # Other branches are dropped by the join that makes the pairs, before any shuffle of them.
     joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "array_contains(_marks" in line]
     assert joins and all("Join Inner" in line for line in joins)
+
+
+def test_word_shards_read_their_words_once(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(shards, "cut_lineage", lambda df: kept.append(df) or df.localCheckpoint())
+    words = spark.createDataFrame([("milk", "1", 9), ("milky", "2", 9), ("mi", "3", 9), ("x", "4", 9)], "term string, barcode string, chars int")
+    found = shards.name_shards(words, (2, 3, 4), 20)
+    assert rows(found) == [("mi", "3"), ("milk", "1"), ("milk", "2")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(kept) == 1 and "translate" not in plan
