@@ -117,3 +117,21 @@ def test_readable_and_unreadable_files_come_from_one_parse(spark):
     assert rows(docs.filter("not readable"), "_file") == rows(xml.unreadable(texts))
     assert rows(docs.filter("readable"), "_file", "doc.ChainID") == rows(xml.parse_promotions(texts), "_file", "doc.ChainID")
     assert docs._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 1
+
+
+def test_a_known_offer_costs_one_call_to_the_state():
+    import pandas as pd
+    from types import SimpleNamespace
+    from shelfwise.streaming.jobs import OfferMemory
+
+    calls, timers = [], []
+    held = [None]
+    state = SimpleNamespace(get=lambda: calls.append("get") or held[0], exists=lambda: calls.append("exists") or held[0] is not None,
+                            update=lambda v: held.__setitem__(0, v))
+    memory = OfferMemory()
+    memory.init(SimpleNamespace(getValueState=lambda *a: state, registerTimer=timers.append, deleteTimer=timers.remove))
+    batch = lambda *pairs: pd.DataFrame({"ts": pd.to_datetime([p[0] for p in pairs]), "ends_ms": [p[1] for p in pairs]})
+    first = list(memory.handleInputRows(("k",), iter([batch(("2025-01-02", 5), ("2025-01-01", 9)), batch(("2025-01-03", 7))]), None))
+    assert [r.values.tolist() for r in first] == [[["k", pd.Timestamp("2025-01-01"), 9]]] and held == [(9,)] and timers == [9]
+    assert list(memory.handleInputRows(("k",), iter([batch(("2025-01-04", 12))]), None)) == [] and held == [(12,)] and timers == [12]
+    assert calls == ["get", "get"]
