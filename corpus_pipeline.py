@@ -20,7 +20,8 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return tables.matching(docs, quality(docs).where("kept"), "left_semi")
+    judged = quality(docs, keep=docs.columns).where("kept")
+    return judged.select(*[F.col(f"_keep_{c}").alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,12 @@ def test_quality_keeps_what_the_sql_keeps(stages):
     assert {tuple(r) for r in stages[0][1]} <= {tuple(r) for r in stages[0][0]}
 
 
+def test_quality_rules_do_not_shuffle_texts(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plan = cp.quality_rules(spark, docs, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_keep_text" in plan and "LeftSemi" not in plan and "rightHint=(strategy=broadcast)" in plan
+
+
 def test_one_of_each_group_stays(stages):
     given, out = stages[1]
     assert ids(out) == sorted({c for _, c, _ in brute([(r.doc_id, r.text) for r in given]).values()})
