@@ -253,34 +253,58 @@ def _searcher(space, shared_items):
         owner, heavy = np.array(owner), np.array(heavy) * MASS
         # A text that lacks more of an item's different words than may be missing from it cannot reach COMMON.
         needed = [(set(t), len(set(t)) - (1 - COMMON) * len(t) - 1e-9) for _, t in items]
+        least = np.array([n for _, n in needed])
+        own_words = np.concatenate([_places(list(w), place) for w, _ in needed])
+        own_first = np.cumsum([len(w) for w, _ in needed]) - [len(w) for w, _ in needed]
+        # A place for unknown words, which add nothing.
+        none, vectors = len(vectors), np.vstack([vectors, np.zeros((1, vectors.shape[1]), vectors.dtype)])
+        idf = np.append(space.value.idf.astype(np.float64), 0.0)
+        gap = WINDOW // STEP - 1
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("text_key")
             for part in words.slices(batch.column("text")):
+                if not len(part.starts):
+                    continue
                 at = look(part)
+                at[at < 0] = none
                 step, first = _steps(at, part.counts)
-                n = int(step[-1]) + 1 if len(step) else 0
-                if not n:
-                    continue
-                known = np.flatnonzero(at >= 0)
-                sums = np.zeros((n, vectors.shape[1]), np.float32)
-                begin, _ = words.runs(step[known])
-                if len(known):
-                    sums[step[known][begin]] = np.add.reduceat(vectors[at[known]], begin)
-                filled = np.bincount(step[known], weights=space.value.idf[at[known]], minlength=n)
-                text_of = np.repeat(np.arange(part.n), -(-part.counts // STEP))
+                # Empty steps after each text, so that no window reaches into the next one.
+                per_text = -(-part.counts // STEP)
+                first = first + np.arange(part.n) * gap
+                n = int(per_text.sum()) + part.n * gap
+                begin = np.cumsum(part.counts) - part.counts
+                cells = np.full((n, STEP), none)
+                cells[step + part.row * gap, (np.arange(len(at)) - begin[part.row]) % STEP] = at
+                sums, filled = np.zeros((n, vectors.shape[1]), np.float32), np.zeros(n)
+                for k in range(STEP):
+                    sums += vectors[cells[:, k]]
+                    filled += idf[cells[:, k]]
+                text_of = np.repeat(np.arange(part.n), per_text + gap)
                 window, mass = sums.copy(), filled.copy()
-                for k in range(1, WINDOW // STEP):
-                    same = text_of[k:] == text_of[:-k]
-                    window[:-k][same] += sums[k:][same]
-                    mass[:-k][same] += filled[k:][same]
-                some = np.flatnonzero(mass >= heavy.min())
+                for k in range(1, gap + 1):
+                    window[:-k] += sums[k:]
+                    mass[:-k] += filled[k:]
+                starts = np.arange(n) - first[text_of] < per_text[text_of]
+                some = np.flatnonzero(starts & (mass >= heavy.min()))
                 norm = np.linalg.norm(window[some], axis=1)
-                found: dict[tuple[int, int], list[tuple[float, int]]] = {}
+                hits_at = []
                 for low in range(0, len(some), 4096):
-                    cosine = (window[some[low:low + 4096]] / np.maximum(norm[low:low + 4096, None], 1e-9)) @ query.T
-                    for w, q in zip(*np.nonzero((cosine >= COSINE) & (mass[some[low:low + 4096], None] >= heavy))):
-                        s = int(some[low + w])
-                        found.setdefault((int(text_of[s]), int(owner[q])), []).append((float(cosine[w, q]), (s - int(first[text_of[s]])) * STEP))
+                    now = some[low:low + 4096]
+                    cosine = (window[now] / np.maximum(norm[low:low + 4096, None], 1e-9)) @ query.T
+                    near = np.flatnonzero((cosine >= COSINE) & (mass[now, None] >= heavy))
+                    hits_at.append((now[near // len(query)], owner[near % len(query)], cosine.ravel()[near]))
+                if not hits_at:
+                    continue
+                where, which, close = (np.concatenate(x) for x in zip(*hits_at))
+                found: dict[tuple[int, int], list[tuple[float, int]]] = {}
+                cut, length = words.runs(text_of[where])
+                for low, m in zip(cut.tolist(), length.tolist()):
+                    t = int(text_of[where[low]])
+                    has = np.zeros(none + 1, np.uint8)
+                    has[at[begin[t]:begin[t] + part.counts[t]]] = 1
+                    enough = np.add.reduceat(has[own_words], own_first, dtype=np.int64) >= least
+                    for h in (low + np.flatnonzero(enough[which[low:low + m]])).tolist():
+                        found.setdefault((t, int(which[h])), []).append((float(close[h]), int(where[h] - first[t]) * STEP))
                 rows, split = [], {}
                 for (t, k), hits in found.items():
                     if t not in split:

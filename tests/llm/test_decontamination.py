@@ -1,6 +1,9 @@
 import random
 import re
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import types as T
 
 from shelfwise.llm import decontamination as dc
@@ -84,3 +87,19 @@ def test_query_finds_every_verbatim_passage(spark):
     assert len(want) > 5 and want <= got
     # What else is found shares most of an item's words in order; at most a few documents do.
     assert len({i for i, _ in got - want}) <= 0.005 * len(docs)
+
+
+def test_only_texts_that_can_hold_an_item_are_split(monkeypatch):
+    item = [f"w{k}" for k in range(20)]
+    place = {w.encode(): k for k, w in enumerate(sorted(item))}
+    vectors = np.ones((20, 2), np.float32)
+    space = SimpleNamespace(value=dc.Space(place, np.ones(20, np.float32), vectors))
+    split = []
+    real = dc.pieces
+    monkeypatch.setattr(dc, "pieces", lambda text: split.append(text) or real(text))
+    # Every window of the first text is near the item, but it has only half of the item's words.
+    texts = [" ".join(item[:10] * 12), "", " ".join(["x", *item, "y"] * 2), "z"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([t.encode() for t in texts], pa.binary()), pa.array([5, 6, 7, 8])], ["doc_id", "text", "text_key"])
+    search = dc._searcher(space, SimpleNamespace(value=[(9, [w.encode() for w in item])]))
+    assert [(r["doc_id"], r["item_id"], r["common"]) for out in search(iter([batch])) for r in out.to_pylist()] == [(3, 9, 1.0)]
+    assert split == [texts[2].encode()]
