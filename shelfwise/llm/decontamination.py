@@ -1,7 +1,7 @@
 """Find benchmark passages in documents, verbatim or reworded: latent semantic search, then word order and answer.
 
 The vocabulary is the benchmark's words. Passages are windows of a text, weighed by TF-IDF with document frequencies
-counted over all documents; a randomised singular value decomposition of a bounded sample of passages and of all
+counted over all documents; a randomised singular value decomposition of all passages and all
 benchmark items gives the latent space, in passes that Spark adds up. Every window of every document is then placed
 in that space and compared with every part of every item, in blocks of items. Candidates are confirmed by the longest
 common subsequence of words around the window; a weak one also by the item's answer, its last words, or by a long
@@ -24,8 +24,9 @@ STEP = 8
 WINDOW = 4 * STEP
 RANK = 48
 POWER_ROUNDS = 2
-# Passages of documents that shape the space besides the items; every window is searched all the same.
-SAMPLE = 20_000
+# Passages multiplied at a time, as a matrix over the words that they have, and words whose sums travel together.
+PASSAGES = 128
+BLOCK = 64
 COSINE = 0.6
 # Least share of an item part's summed idf that a window must have to be a candidate for it: far below COMMON.
 MASS = 0.4
@@ -103,105 +104,102 @@ def _places(tokens: list[bytes], place: dict[bytes, int]) -> np.ndarray:
     return np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
 
 
-def _steps(at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each word's step of ``STEP`` words, steps not crossing texts, and the first step of each text."""
-    per_text = -(-counts // STEP)
+def _steps(at: np.ndarray, counts: np.ndarray, size: int = STEP) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each word's step of ``size`` words, steps not crossing texts, and the first step of each text."""
+    per_text = -(-counts // size)
     first = np.cumsum(per_text) - per_text
     inside = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return np.repeat(first, counts) + inside // STEP, first
+    return np.repeat(first, counts) + inside // size, first
 
 
-def _frequencies(place, sampled: int):
-    out = pa.schema([("term", pa.int64()), ("n", pa.int64()), ("h", pa.int64()), ("terms", pa.binary())])
+def _passages(groups: np.ndarray, terms: np.ndarray) -> tuple[bytes, bytes]:
+    """Words of consecutive passages and the number of each passage's words."""
+    _, length = words.runs(groups)
+    return terms.astype(np.int32).tobytes(), length.astype(np.uint8).tobytes()
+
+
+def _frequencies(place):
+    """Per slice of texts its passages; per task the number of passages of each word, and under -1 of all."""
+    out = pa.schema([("term", pa.int64()), ("n", pa.int64()), ("terms", pa.binary()), ("lengths", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, look = len(place.value), Lookup(place.value)
         total, passages = np.zeros(size, np.int64), 0
-        best: list[tuple[int, bytes]] = []
-        limit = np.iinfo(np.int64).max
         for batch in batches:
             for part in words.slices(batch.column("text")):
                 at = look(part)
-                step, _ = _steps(at, part.counts)
-                window = step // 4  # passages side by side; those at a text's end may be shared with the next
+                window, _ = _steps(at, part.counts, WINDOW)
                 known = at >= 0
                 pair = np.unique(window[known] * size + at[known])
                 total += np.bincount(pair % size, minlength=size)
                 passages += int(window[-1]) + 1 if len(window) else 0
                 if len(pair):
-                    first, length = words.runs(pair // size)
-                    with np.errstate(over="ignore"):
-                        # The same passages whatever the partitions: by a hash of their terms.
-                        mixed = words.mix((pair % size).astype(np.uint64) + np.uint64(1))
-                        h = (words.mix(np.add.reduceat(mixed, first)) >> np.uint64(1)).astype(np.int64)
-                    for k in np.flatnonzero(h <= limit).tolist():
-                        best.append((int(h[k]), (pair[first[k]:first[k] + length[k]] % size).astype(np.int32).tobytes()))
-                    if len(best) > 2 * sampled:
-                        best = sorted(set(best))[:sampled]
-                        limit = best[-1][0] if len(best) == sampled else limit
-        best = sorted(set(best))[:sampled]
-        used = np.flatnonzero(total)
-        n, none = len(used), pa.nulls
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used]), none(n, pa.int64()), none(n, pa.binary())], schema=out)
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([passages], pa.int64()), none(1, pa.int64()), none(1, pa.binary())], schema=out)
-        if best:
-            yield pa.RecordBatch.from_arrays([none(len(best), pa.int64()), none(len(best), pa.int64()), pa.array([b[0] for b in best], pa.int64()), pa.array([b[1] for b in best], pa.binary())], schema=out)
+                    columns = zip((None, None, *_passages(pair // size, pair % size)))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
+        used = np.append(np.flatnonzero(total), -1)
+        none = pa.nulls(len(used), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.append(total[used[:-1]], passages)), none, none], schema=out)
 
     return run
 
 
 def _product(right, idf):
-    """Per task the share of A'(A R), a row per term and column; A has a row for each passage, of its weight's length."""
+    """Per task the share of A'(A R) in billionths, ``BLOCK`` words a row; A has a row for each passage, of its weight's length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = right.value
-        total = np.zeros_like(r)
+        r, weights = right.value.astype(np.float32), idf.value.astype(np.float32)
+        total, local = np.zeros(right.value.shape), np.empty(len(right.value), np.int64)
         for batch in batches:
-            raw = batch.column("terms").to_pylist()
-            for low in range(0, len(raw), 1000):
-                some = raw[low:low + 1000]
-                heavy = batch.column("weight").to_numpy()[low:low + 1000].astype(np.float64)
-                length = np.array([len(x) for x in some]) // 4
-                terms = np.frombuffer(b"".join(some), np.int32)
-                first = np.cumsum(length) - length
-                w = idf.value[terms]
-                w = w / np.repeat(np.maximum(np.sqrt(np.add.reduceat(w * w, first)), 1e-12), length)
-                seen = np.add.reduceat(w[:, None] * r[terms], first) * heavy[:, None] ** 2
-                order = np.argsort(terms, kind="stable")
-                begin, _ = words.runs(terms[order])
-                back = w[:, None] * np.repeat(seen, length, axis=0)
-                total[terms[order][begin]] += np.add.reduceat(back[order], begin)
-        used, width = np.flatnonzero(np.abs(total).sum(1)), total.shape[1]
+            for raw, sizes, heavy in zip(*[batch.column(c) for c in ("terms", "lengths", "weight")]):
+                terms, length = np.frombuffer(raw.as_buffer(), np.int32), np.frombuffer(sizes.as_buffer(), np.uint8).astype(np.int64)
+                ends = np.cumsum(length)
+                for low in range(0, len(length), PASSAGES):
+                    own = length[low:low + PASSAGES]
+                    some = terms[ends[low] - own[0]:ends[low + len(own) - 1]]
+                    used = np.flatnonzero(np.bincount(some, minlength=len(local)))
+                    local[used] = np.arange(len(used))
+                    a = np.zeros((len(own), len(used)), np.float32)
+                    a[np.repeat(np.arange(len(own)), own), local[some]] = weights[some]
+                    a *= heavy.as_py() / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-12)[:, None]
+                    total[used] += a.T @ (a @ r[used])
+        whole = np.rint(total * 1e9).astype(np.int64)
+        blocks = [k for k in range(0, len(whole), BLOCK) if whole[k:k + BLOCK].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(used, width)), pa.array(np.tile(np.arange(width), len(used))), pa.array(total[used].ravel())], names=["term", "k", "x"])
+            [pa.array(blocks, pa.int64()), pa.array([whole[k:k + BLOCK].tobytes() for k in blocks], pa.binary())], names=["first", "x"])
 
     return run
 
 
-def fit(docs: DataFrame, items: list[list[bytes]], rank: int = RANK, sample: int = SAMPLE) -> Space:
-    """Latent space of the items' words (``docs``: the output of :func:`tables.texts`)."""
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of the tasks' shares of one block: of whole numbers, so their order does not matter."""
+    total = sum(np.frombuffer(x.as_buffer(), np.int64) for x in table.column("x"))
+    return pa.table({"first": table.column("first")[:1], "x": pa.array([total.tobytes()], pa.binary())})
+
+
+def fit(docs: DataFrame, items: list[list[bytes]], rank: int = RANK) -> Space:
+    """Latent space of the items' words from all passages (``docs``: the output of :func:`tables.texts`)."""
     spark = docs.sparkSession
     vocabulary = sorted({w for tokens in items for w in tokens})
     place = {w: k for k, w in enumerate(vocabulary)}
     size = len(vocabulary)
     shared = spark.sparkContext.broadcast(place)
-    counted = tables.stage(docs.mapInArrow(_frequencies(shared, sample), "term bigint, n bigint, h bigint, terms binary"), "frequencies")
+    counted = tables.stage(docs.mapInArrow(_frequencies(shared), "term bigint, n bigint, terms binary, lengths binary"), "frequencies")
     # At most a row per word of the items, and one for the number of passages.
     n = {r.term: r.n for r in counted.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     idf = np.array([math.log((1 + n.get(-1, 0)) / (1 + n.get(k, 0))) + 0.1 for k in range(size)])
-    passages = counted.where("h is not null").select("h", "terms").distinct().orderBy("h", "terms").limit(sample).select("terms")
-    own = [np.unique(_places(t[a:a + WINDOW], place)).astype(np.int32).tobytes() for t in items for a in range(0, len(t), WINDOW)]
-    own = spark.createDataFrame([(bytearray(x), ITEM_WEIGHT) for x in own], "terms binary, weight int")
-    passages = tables.stage(passages.repartition(8, "terms").withColumn("weight", F.lit(1)).union(own), "passages")
+    own = [np.unique(_places(t[a:a + WINDOW], place)) for t in items for a in range(0, len(t), WINDOW)]
+    own = _passages(np.repeat(np.arange(len(own)), [len(x) for x in own]), np.concatenate(own))
+    own = spark.createDataFrame([(*map(bytearray, own), ITEM_WEIGHT)], "terms binary, lengths binary, weight int")
+    passages = counted.where("terms is not null").select("terms", "lengths", F.lit(1).alias("weight")).union(own)
     weights = spark.sparkContext.broadcast(idf)
     basis = np.random.default_rng(0).standard_normal((size, min(rank + 8, size)))
     for _ in range(POWER_ROUNDS + 1):
         basis = np.linalg.qr(basis)[0]
-        # A sum of at most (words of the items) x (rank + 8) numbers a task; rows come back by term.
-        parts = passages.mapInArrow(_product(spark.sparkContext.broadcast(basis), weights), "term bigint, k bigint, x double")
-        # Sums in billionths do not depend on the order in which the tasks' shares are added.
-        sums = parts.groupBy("term", "k").agg(F.sum(F.round(F.col("x") * 1e9).cast("bigint")).alias("x")).toArrow()
+        # A sum of at most (words of the items) x (rank + 8) numbers a task; one such sum comes back.
+        parts = passages.mapInArrow(_product(spark.sparkContext.broadcast(basis), weights), "first bigint, x binary")
+        sums = parts.groupBy("first").applyInArrow(_added, "first bigint, x binary").toArrow()
         following = np.zeros_like(basis)
-        following[sums["term"].to_numpy(), sums["k"].to_numpy()] = sums["x"].to_numpy() / 1e9
+        for k, x in zip(sums["first"].to_pylist(), sums["x"].to_pylist()):
+            following[k:k + BLOCK] = np.frombuffer(x, np.int64).reshape(-1, basis.shape[1]) / 1e9
         basis = following
     left, strength, _ = np.linalg.svd(basis, full_matrices=False)
     kept = left[:, : min(rank, int((strength > strength.max(initial=0) * 1e-9).sum()) or 1)]

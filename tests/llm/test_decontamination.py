@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 
-from shelfwise.llm import decontamination as dc
+from shelfwise.llm import decontamination as dc, tables
 from shelfwise.llm.queries import op3_decontamination
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("item_id", T.StringType()), T.StructField("cosine", T.StringType())])
@@ -103,3 +103,26 @@ def test_only_texts_that_can_hold_an_item_are_split(monkeypatch):
     search = dc._searcher(space, SimpleNamespace(value=[(9, [w.encode() for w in item])]))
     assert [(r["doc_id"], r["item_id"], r["common"]) for out in search(iter([batch])) for r in out.to_pylist()] == [(3, 9, 1.0)]
     assert split == [texts[2].encode()]
+
+
+def test_space_comes_from_all_passages_whatever_the_partitions(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(100))) for _ in range(200)] + ["w1 x " * 400, "", "x", None]
+    items = [[f"w{k}".encode() for k in rng.sample(range(60), 20)] for _ in range(8)]
+    df = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], DOCS)
+    spaces = [dc.fit(tables.texts(df.repartition(n)), items, rank=6) for n in (1, 5)]
+    vocabulary = sorted({w for t in items for w in t})
+    rows = [t.encode().split()[a:a + dc.WINDOW] for t in texts if t for a in range(0, len(t.split()), dc.WINDOW)]
+    rows = [(r, 1) for r in rows] + [(t[a:a + dc.WINDOW], dc.ITEM_WEIGHT) for t in items for a in range(0, len(t), dc.WINDOW)]
+    total = sum(w == 1 for _, w in rows)
+    idf = np.array([np.log((1 + total) / (1 + sum(w == 1 and v in r for r, w in rows))) + 0.1 for v in vocabulary])
+    a = np.array([[float(v in r) for v in vocabulary] for r, _ in rows]) * idf
+    a *= np.array([[w] for _, w in rows]) / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    basis = np.random.default_rng(0).standard_normal((len(vocabulary), 14))
+    for _ in range(dc.POWER_ROUNDS + 1):
+        basis = a.T @ (a @ np.linalg.qr(basis)[0])
+    want = np.linalg.svd(basis, full_matrices=False)[0][:, :6]
+    for space in spaces:
+        assert list(space.place) == vocabulary and np.allclose(space.idf, idf, atol=1e-5)
+        got = space.vectors / space.idf[:, None]
+        assert np.allclose(got @ got.T, want @ want.T, atol=1e-3)
