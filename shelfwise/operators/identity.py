@@ -44,4 +44,4 @@ def coverage_curve(probes: DataFrame, probe: str, key: str) -> DataFrame:
     new = first.groupBy(probe).agg(F.count(F.lit(1)).alias("new_ids"))
     every = probes.groupBy(probe).agg(F.count(F.lit(1)).alias("returned"))
     rows = every.join(new, probe, "left").withColumn("new_ids", F.coalesce("new_ids", F.lit(0).cast("bigint")))
-    return running_total(rows, [], [probe], "new_ids", "total_ids", sample_from=probes.select(probe).distinct())
+    return running_total(rows, [], [probe], "new_ids", "total_ids")

@@ -1,94 +1,85 @@
-"""Row numbers over an order, without sending an ordered group to one task.
+"""Row numbers and running totals over an order, without sending an ordered group to one task.
 
-Key ranges are cut at a few sampled boundary keys. Rows are numbered inside a
-range, and the sizes of the earlier ranges of the same group are added. The
-boundaries are literals, so the numbers do not depend on the sample: it only
-decides how evenly the ranges are filled, and may come from any table whose
-keys are spread like the numbered one.
+Rows are laid out once by key ranges, sorted inside each, and stored: Spark cuts
+the ranges from the rows' own keys, so a large group spreads over several. What
+is stored no longer depends on the cut. The sizes of the earlier ranges of the
+same group are added to the place of a row in its range.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SAMPLE_PER_RANGE = 32
-
-
-def _range_count(df: DataFrame) -> int:
-    """As many ranges as shuffle partitions, which grow with the data."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 16)
-
-
-def _boundaries(keys: DataFrame, names: list[str], ranges: int) -> list[tuple]:
-    hashed = keys.select(*names).withColumn("_h", F.xxhash64(*names))
-    rows = hashed.orderBy("_h").limit(SAMPLE_PER_RANGE * ranges).collect()
-    sample = sorted({tuple(r[n] for n in names) for r in rows})
-    if len(sample) <= ranges:
-        return sample[1:]
-    step = len(sample) / ranges
-    return sorted({sample[int(i * step)] for i in range(1, ranges)})
-
-
-def _ranged(df: DataFrame, group: list[str], order: list[str], ranges: int,
-            sample_from: DataFrame | None) -> DataFrame | None:
-    """Add ``_range``: the number of boundary keys at or below a row's key."""
-    names, ranges = [*group, *order], max(ranges, 2)
-    cuts = _boundaries(df if sample_from is None else sample_from, names, ranges)
-    if not cuts and sample_from is not None:
-        cuts = _boundaries(df, names, ranges)
-    if not cuts:  # at most one key: nothing to cut
-        return None
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(n) for n in names])
-    edge = lambda cut: F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, cut)])
-    # Two steps: the block of edges, then the edge inside it, so a row meets about 2 sqrt(n) of n edges.
-    width = max(1, round(len(cuts) ** 0.5))
-    blocks = [cuts[k:k + width] for k in range(0, len(cuts), width)]
-    heads = F.array(*[edge(b[0]) for b in blocks])
-    inner = F.array(*[F.array(*[edge(c) for c in b]) for b in blocks])
-    block = F.size(F.filter(heads, lambda e: e <= key))
-    # Before the first edge there is no block: the filter of a missing one is null.
-    inside = F.coalesce(F.size(F.filter(F.try_element_at(inner, F.nullif(block, F.lit(0))), lambda e: e <= key)), F.lit(0))
-    return df.withColumn("_range", F.when(block == 0, 0).otherwise((block - 1) * width + inside))
-
-
-def _with_offsets(ranged: DataFrame, group: list[str], size: Column) -> DataFrame:
-    """Add ``_before``: the sum of ``size`` over earlier ranges of the group.
+from shelfwise.operators.spread import lookup_join
+from shelfwise.session import cut_lineage
+
+# A group of at most so many rows is summed where its key is; more of them take the ranges.
+ROWS_OF_A_TASK = 100_000
+# Spark's increasing ids: the task above, the place in its rows in the low bits.
+PLACE_BITS = 33
+
+
+def _ranged(df: DataFrame, group: list[str], order: list[str], ranges: int | None) -> DataFrame:
+    """``df`` stored in key order with ``_range`` and the place ``_at`` in it; the ranges follow one another by key.
+
+    The rows are stored before they are laid out, because Spark reads them twice: for the cuts and for the rows.
+    """
+    names, rows = [*group, *order], cut_lineage(df)
+    laid = rows.repartitionByRange(*([ranges] if ranges else []), *names).sortWithinPartitions(*names)
+    placed = laid.withColumn("_id", F.monotonically_increasing_id())
+    return cut_lineage(placed.withColumns({
+        "_range": F.shiftright("_id", PLACE_BITS).cast("int"), "_at": F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))}).drop("_id"))
+
+
+def _with_offsets(rows: DataFrame, ranged: DataFrame, group: list[str], size: Column) -> DataFrame:
+    """Add to ``rows`` of ``ranged`` the sum ``_before`` of ``size`` over earlier ranges of the group, and the least place ``_first`` in its own.
 
     The window sees at most one row per range and group.
     """
-    sizes = ranged.groupBy(*group, "_range").agg(size.alias("_n"))
+    sizes = ranged.groupBy(*group, "_range").agg(size.alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *group, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    return ranged.join(offsets, [*group, "_range"], "inner")
+    offsets = cut_lineage(sizes.select(
+        *group, "_range", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+    return lookup_join(rows, offsets, [*group, "_range"], ["_at"], "inner")
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[str], out: str,
                 start: int = 1, ranges: int | None = None,
                 sample_from: DataFrame | None = None) -> DataFrame:
-    """Add ``out``: ``start``, ``start + 1``, … by ``order`` within ``group``.
+    """Add ``out``: ``start``, ``start + 1``, … by ``order`` within ``group``; the result is stored.
 
-    ``group + order`` must be non-null and identify a row.
+    ``group + order`` must be non-null and identify a row. ``sample_from`` is not
+    needed any more: the cuts come from the rows.
     """
-    ranged = _ranged(df, group, order, ranges or _range_count(df), sample_from)
-    if ranged is None:
-        return df.withColumn(out, F.lit(start).cast("bigint"))
-    inside = Window.partitionBy(*group, "_range").orderBy(*order)
-    numbered = ranged.withColumn("_rn", F.row_number().over(inside))
-    joined = _with_offsets(numbered, group, F.count(F.lit(1)))
-    number: Column = F.col("_before") + F.col("_rn") - 1 + start
-    return joined.withColumn(out, number.cast("bigint")).drop("_range", "_rn", "_before")
+    ranged = _ranged(df, group, order, ranges)
+    joined = _with_offsets(ranged, ranged, group, F.count(F.lit(1)))
+    number = F.col("_before") + F.col("_at") - F.col("_first") + start
+    return joined.withColumn(out, number.cast("bigint")).select(*[c for c in df.columns if c != out], out)
 
 
 def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
                   ranges: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
-    """Add ``out``: the sum of ``value`` up to and including each row."""
-    ranged = _ranged(df, group, order, ranges or _range_count(df), sample_from)
-    if ranged is None:
-        return df.withColumn(out, F.col(value))
-    so_far = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    summed = ranged.withColumn("_sum", F.sum(value).over(so_far))
-    joined = _with_offsets(summed, group, F.sum(value))
-    return joined.withColumn(out, F.col("_before") + F.col("_sum")).drop("_range", "_sum", "_before")
+    """Add ``out``: the sum of ``value`` up to and including each row.
+
+    ``df`` is read more than once. Groups of few rows are summed by key, one
+    shuffle for all; the rows of larger ones go by ranges.
+    """
+    if not group:
+        return _total_by_ranges(df, group, order, value, out, ranges)
+    large = cut_lineage(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > ROWS_OF_A_TASK).select(*group))
+    by_key = lambda rows: rows.withColumn(out, F.sum(value).over(_so_far(group, order)))
+    if large.isEmpty():
+        return by_key(df)
+    small, rest = lookup_join(df, large, group, order, "left_anti"), lookup_join(df, large, group, order, "left_semi")
+    return by_key(small).unionByName(_total_by_ranges(rest, group, order, value, out, ranges))
+
+
+def _so_far(keys: list[str], order: list[str]):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _total_by_ranges(df: DataFrame, group: list[str], order: list[str], value: str, out: str, ranges: int | None) -> DataFrame:
+    ranged = _ranged(df, group, order, ranges)
+    summed = ranged.withColumn("_sum", F.sum(value).over(_so_far([*group, "_range"], order)))
+    joined = _with_offsets(summed, ranged, group, F.sum(value))
+    return joined.withColumn(out, F.col("_before") + F.col("_sum")).select(*df.columns, out)

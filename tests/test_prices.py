@@ -103,6 +103,24 @@ def test_numbers_do_not_depend_on_ranges(spark):
     assert numbering.number_rows(one, ["g"], ["k"], "n", start=0).first()["n"] == 0
 
 
+def test_numbered_rows_are_stored_and_large_groups_summed_by_range(spark, capsys, monkeypatch):
+    data = spark.range(600).select((F.col("id") % 7 % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("k"), (F.col("id") % 5).alias("v"))
+    numbering.number_rows(data, ["g"], ["k"], "n").explain()
+    plan = capsys.readouterr().out
+    # No comparison of a row with every edge, and nothing built again by each reader.
+    assert "filter(" not in plan and "lambda" not in plan and "Window" not in plan and "hashpartitioning" not in plan
+    numbering.running_total(data, ["g"], ["k"], "v", "t").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "lambda" not in plan
+    whole = rows(numbering.running_total(data, ["g"], ["k"], "v", "t"))
+    so_far = {}
+    for g, k, v, t in sorted(whole, key=lambda r: r[:2]):
+        so_far[g] = so_far.get(g, 0) + v
+        assert t == so_far[g]
+    monkeypatch.setattr(numbering, "ROWS_OF_A_TASK", 150)  # two of the three groups hold more
+    assert rows(numbering.running_total(data, ["g"], ["k"], "v", "t", ranges=5)) == whole
+
+
 def test_salted_join_equals_plain_join(spark):
     big = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     small = spark.createDataFrame([("hot", 1), ("7", 2)], "k string, v int")
