@@ -30,7 +30,8 @@ def quoted(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """A decimal without trailing zeros."""
-    return F.regexp_replace(c.cast("string"), r"\.0+$|(\.\d*?[1-9])0+$", "$1")
+    digits = c.cast("string")
+    return F.when(F.contains(digits, F.lit(".")), F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))).otherwise(digits)
 
 
 def shekels(agorot: Column) -> Column:
@@ -46,19 +47,19 @@ def joined(ordered: Column, opening: str, closing: str) -> Column:
 
 
 def in_parts(entries: DataFrame, key: list[str], order: list[str], budget: int, size: Column | None = None,
-             out: str = "part", sample_from: DataFrame | None = None) -> DataFrame:
+             out: str = "part") -> DataFrame:
     """Add ``out``: 1, 2, … by the bytes of the entries before one; ``key + order`` are non-null and identify an entry.
 
-    The entries are kept, since they are read for the key sample, the totals and the parts.
+    The entries are kept, since they are read for the totals and the parts.
     """
     sized = cut_lineage(entries.withColumn("_size", (F.octet_length("text") + 1 if size is None else size).cast("bigint")))
-    summed = running_total(sized, key, order, "_size", "_upto", sample_from=sample_from)
+    summed = running_total(sized, key, order, "_size", "_upto")
     return summed.withColumn(out, (F.floor((F.col("_upto") - F.col("_size")) / budget) + 1).cast("int")).drop("_size", "_upto")
 
 
-def nested(entries: DataFrame, outer: str, inner: str, order: list[str], budget: int, sample_from: DataFrame | None = None) -> DataFrame:
+def nested(entries: DataFrame, outer: str, inner: str, order: list[str], budget: int) -> DataFrame:
     """``outer``, ``part`` and ``json``: ``{inner: [entry, …], …}`` of the entries of one part."""
-    parts = in_parts(entries, [outer], [inner, *order], budget, sample_from=sample_from)
+    parts = in_parts(entries, [outer], [inner, *order], budget)
     lists = parts.groupBy(outer, "part", inner).agg(joined(F.collect_list(F.struct(*order, "text")), "[", "]").alias("_list"))
     named = lists.withColumn("text", F.concat(quoted(F.col(inner)), F.lit(":"), "_list"))
     return named.groupBy(outer, "part").agg(joined(F.collect_list(F.struct(inner, "text")), "{", "}").alias("json"))

@@ -28,7 +28,8 @@ def assign(keys: DataFrame, levels: tuple[int, ...], limit: int, weight: Column,
     """
     deepest = levels[-1]
     name = lambda level: f"_p{level}"
-    sizes = keys.groupBy(prefix(F.col("barcode"), deepest).alias(name(deepest))).agg(F.sum(weight).alias("_w"))
+    # Stored, so that the texts are measured once for all levels.
+    sizes = cut_lineage(keys.groupBy(prefix(F.col("barcode"), deepest).alias(name(deepest))).agg(F.sum(weight).alias("_w")))
     buckets = sizes
     for level in levels[:-1]:
         buckets = buckets.withColumn(name(level), F.substring(name(deepest), 1, level))
@@ -41,7 +42,7 @@ def assign(keys: DataFrame, levels: tuple[int, ...], limit: int, weight: Column,
     for level in reversed(levels[:-1]):
         buckets = lookup_join(buckets, totals[level], [name(level)], [name(deepest)], "inner")
         choice = F.when(F.col(f"_t{level}") + fixed <= limit, F.col(name(level))).otherwise(choice)
-    mapping = buckets.select(name(deepest), choice.alias("shard"))
+    mapping = cut_lineage(buckets.select(name(deepest), choice.alias("shard")))
     keyed = keys.withColumn(name(deepest), prefix(F.col("barcode"), deepest))
     return lookup_join(keyed, mapping, [name(deepest)], ["barcode"], "inner").drop(name(deepest))
 
