@@ -125,7 +125,7 @@ def category_tree(b: Bridge):
     FROM products p LEFT JOIN (SELECT barcode, min(agorot) AS low, count(*) AS n FROM base GROUP BY barcode) x
     ON p.barcode = x.barcode""", ("products", "base", "real_deals"))
 def product_summary(b: Bridge):
-    rows = catalog.product_summaries(b.mart_products(), b.baselines(), b.deals()[0])
+    rows = catalog.product_summaries(b.mart_products(), b.once("base", b.baselines), b.deals()[0])
     return rows.select("barcode", "name", F.coalesce("category_id", F.lit(-1)).alias("category_id"),
                        F.coalesce("min_agorot", F.lit(-1)).alias("min_agorot"), "chains", "on_deal", "weighted")
 
