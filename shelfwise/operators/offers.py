@@ -18,6 +18,7 @@ from shelfwise.operators.prices import ITEM_KEY, shelf_prices
 from shelfwise.operators.spread import (
     FEW_KEYS_WAYS, exists_join, lookup_join, min_by_order, spread_join,
 )
+from shelfwise.session import cut_lineage
 
 BUILD_TERMS = ["chain_id", "barcode", "club", "coupon", "min_qty", "agorot"]
 READ_TERMS = ["chain_id", "barcode", "club", "coupon", "min_qty", "unit_agorot"]
@@ -125,7 +126,9 @@ def read_merge(offers: DataFrame, links: DataFrame, today: str) -> tuple[DataFra
     Returns (merged offers, their links, branches with any offer at all).
     Expired offers count only for the last of these.
     """
-    linked = links.join(offers, BUILD_TERMS, "inner")
+    # Read three times, so it is joined once.
+    said = [*BUILD_TERMS, "unit_agorot", "description", "starts", "ends"]
+    linked = cut_lineage(links.join(offers.select(*said), BUILD_TERMS, "inner").select(*said, "store_id"))
     everywhere = linked.select("chain_id", "store_id").distinct()
     qty, unit = money.effective_terms(F.col("min_qty"), F.col("agorot"))
     # An offer whose quantity is not a weight keeps its own unit price.
@@ -155,12 +158,12 @@ def best_somewhere(links: DataFrame) -> DataFrame:
 
 def prune_dominated(merged: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Survivors with their full branch lists."""
-    kept = best_somewhere(links)
+    kept = cut_lineage(best_somewhere(links))
     return merged.join(kept, READ_TERMS, "left_semi"), links.join(kept, READ_TERMS, "left_semi")
 
 
 def build_deals(kept: DataFrame, base: DataFrame, products: DataFrame, chain_products: DataFrame,
-                categories: DataFrame, sample_from: DataFrame | None = None, group: list[str] | None = None,
+                categories: DataFrame, group: list[str] | None = None,
                 out: str = "deal_id") -> DataFrame:
     """Survivors with base price, category, name, discount and ``out``, numbered over all chains or within ``group``."""
     prices = base.select(*ITEM_KEY, F.col("agorot").alias("base_agorot"))
@@ -174,7 +177,7 @@ def build_deals(kept: DataFrame, base: DataFrame, products: DataFrame, chain_pro
         "discount_tenths": money.discount_tenths(F.col("unit_agorot"), F.col("base_agorot")),
     }).drop("_own", "_common")
     order = [c for c in ("chain_id", "barcode", "club", "coupon", "unit_agorot", "min_qty") if c not in (group or [])]
-    return number_rows(deals, group or [], order, out, sample_from=sample_from)
+    return number_rows(deals, group or [], order, out)
 
 
 def deal_branches(deals: DataFrame, links: DataFrame) -> DataFrame:
@@ -357,7 +360,7 @@ def promotion_entries(kept: DataFrame, modes: DataFrame, listing: DataFrame, tod
 def store_bits(stores: DataFrame, offer_stores: DataFrame) -> DataFrame:
     """Dense numbers 0..n-1 per chain over every branch known from anywhere."""
     known = stores.select("chain_id", "store_id").union(offer_stores.select("chain_id", "store_id")).distinct()
-    return number_rows(known, ["chain_id"], ["store_id"], "bit", start=0, sample_from=stores)
+    return number_rows(known, ["chain_id"], ["store_id"], "bit", start=0)
 
 
 def branches_without_bit(branches: DataFrame, bits: DataFrame) -> DataFrame:
@@ -366,7 +369,10 @@ def branches_without_bit(branches: DataFrame, bits: DataFrame) -> DataFrame:
 
 
 def branch_bitmaps(branches: DataFrame, bits: DataFrame) -> DataFrame:
-    """Export form: bitmap chunks per deal, 32,768 branches to a chunk."""
-    numbered = branches.join(bits, ["chain_id", "store_id"])
+    """Export form: bitmap chunks per deal, 32,768 branches to a chunk.
+
+    The numbers of a deal meet before its bitmaps are made: a bitmap has four kilobytes whatever is in it, so none is shuffled or sorted.
+    """
+    numbered = lookup_join(branches, bits, ["chain_id", "store_id"], ["deal_id"], "inner").repartition("deal_id")
     return numbered.groupBy("deal_id", F.bitmap_bucket_number(F.col("bit")).alias("chunk")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit"))).alias("bitmap"))

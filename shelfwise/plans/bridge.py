@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from shelfwise.operators import offers as offer_ops
 from shelfwise.operators import prices as price_ops
 from shelfwise.operators import search as search_ops
-from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join, widen
+from shelfwise.operators.spread import lookup_join, widen
 from shelfwise.session import cut_lineage
 
 TODAY = "1998-06-01"
@@ -168,7 +168,8 @@ class Bridge:
     def kept(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         merged, links, everywhere = self.read_tables()
         live = self.once("live_links", lambda: links)
-        return (*offer_ops.prune_dominated(merged, live), everywhere)
+        kept, kept_links = offer_ops.prune_dominated(merged, live)
+        return self.once("kept", lambda: kept), kept_links, everywhere
 
     def chain_products(self) -> DataFrame:
         """Weighed items under the name that each chain gives them."""
@@ -180,20 +181,9 @@ class Bridge:
         """Deals, their branch links and every chain's branches on offer."""
         kept, links, everywhere = self.kept()
         deals = offer_ops.build_deals(
-            kept, self.once("base", self.baselines), self.products(), self.chain_products(), self.product_categories(),
-            sample_from=self.deal_key_sample())
+            kept, self.once("base", self.baselines), self.products(), self.chain_products(), self.product_categories())
         return deals, links, everywhere
 
-    def deal_key_sample(self) -> DataFrame:
-        """Keys spread like those of deals: every part once, chains in turn."""
-        part, region = self.table("part").select("p_partkey"), self.table("region")
-        paired = lookup_join(
-            part.withColumn("r_regionkey", F.expr("p_partkey % 5")), region, ["r_regionkey"], ["p_partkey"], "inner", FEW_KEYS_WAYS)
-        zero = F.lit(0)
-        return paired.select(
-            F.col("r_name").alias("chain_id"), ean("p_partkey").alias("barcode"), zero.alias("club"), zero.alias("coupon"),
-            zero.cast("bigint").alias("unit_agorot"), zero.cast("decimal(10,3)").alias("min_qty"))
-
     # --- texts
 
     def documents(self) -> DataFrame:

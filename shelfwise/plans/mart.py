@@ -126,7 +126,7 @@ def build_mart(spark: SparkSession, src: Sources, save=None) -> dict[str, DataFr
     kept, kept_links = offers.prune_dominated(merged, links)
     kept, kept_links = keep("kept_offers", kept), keep("kept_links", kept_links)
     deals = put("deals", offers.build_deals(
-        kept, base, products, src.chain_products, src.product_categories, sample_from=kept))
+        kept, base, products, src.chain_products, src.product_categories))
     put("deal_branches", offers.deal_branches(deals, kept_links))
     put("deal_products", offers.best_deal_per_product(deals))
     put("store_bits", offers.store_bits(stores, linked))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.operators import documents, offers, prices
 from shelfwise.plans.bridge import TODAY, Bridge
-from shelfwise.plans.queries.offers import COARSE, KEY, _coarse
+from shelfwise.plans.queries.offers import COARSE, KEY, _coarse, _modes
 from shelfwise.plans.registry import query
 
 # Budgets small enough that the smallest data have keys with several parts and shards of every level.
@@ -89,7 +89,7 @@ OFFER_ORDER = "club, coupon, unit_agorot, qty_milli"
 
 def _entries(b: Bridge) -> DataFrame:
     kept, links, everywhere = _coarse(b)
-    modes = offers.branch_modes(links, everywhere)
+    modes = _modes(b, links, everywhere)
     return offers.promotion_entries(kept, modes, offers.branch_listing(links, everywhere, modes), TODAY)
 
 

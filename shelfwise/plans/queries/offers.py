@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import money
 from shelfwise.operators import offers, quality
@@ -207,7 +207,11 @@ def _coarse(b: Bridge):
     city = b.suppliers().select("store_id", "city")
     by_city = lambda df: lookup_join(df, city, ["store_id"], ["chain_id"], "inner").drop("store_id").withColumnRenamed(
         "city", "store_id").distinct()
-    return kept, by_city(links), by_city(everywhere)
+    return kept, b.once("coarse_links", lambda: by_city(links)), b.once("coarse_everywhere", lambda: by_city(everywhere))
+
+
+def _modes(b: Bridge, links: DataFrame, everywhere: DataFrame) -> DataFrame:
+    return b.once("modes", lambda: offers.branch_modes(links, everywhere))
 
 
 COARSE = MODES.replace("FROM klinks", "FROM cl").replace("JOIN klinks", "JOIN cl").replace("FROM everywhere", "FROM ce").replace(
@@ -227,7 +231,7 @@ def branch_list_modes(b: Bridge):
 @query("branch_lists", COARSE + f"SELECT {READ}, mode, store_id FROM listing", ("klinks", "everywhere", "stores"))
 def branch_lists(b: Bridge):
     _, links, everywhere = _coarse(b)
-    return offers.branch_listing(links, everywhere, offers.branch_modes(links, everywhere))
+    return offers.branch_listing(links, everywhere, _modes(b, links, everywhere))
 
 
 @query("promotion_documents", COARSE + f"""
@@ -240,7 +244,7 @@ def branch_lists(b: Bridge):
        ("kept", "klinks", "everywhere", "stores"))
 def promotion_documents(b: Bridge):
     kept, links, everywhere = _coarse(b)
-    modes = offers.branch_modes(links, everywhere)
+    modes = _modes(b, links, everywhere)
     rows = offers.promotion_entries(kept, modes, offers.branch_listing(links, everywhere, modes), TODAY)
     o = F.col("offer")
     return rows.select("chain_id", "barcode", "unit_agorot", "min_qty", o["d"].alias("d"), o["e"].alias("e"),
@@ -253,7 +257,7 @@ def promotion_documents(b: Bridge):
            unit_agorot FROM cl WHERE store_id = 'NATION_7'""", ("klinks", "everywhere", "stores"))
 def offer_runs_at_branch(b: Bridge):
     kept, links, everywhere = _coarse(b)
-    modes = offers.branch_modes(links, everywhere)
+    modes = _modes(b, links, everywhere)
     rows = offers.promotion_entries(kept, modes, offers.branch_listing(links, everywhere, modes), TODAY)
     chain = everywhere.filter("store_id = 'NATION_7'").select("chain_id")
     here = rows.join(chain, "chain_id", "left_semi")

@@ -150,3 +150,33 @@ def test_offers_follow_the_branch_to_its_brand(spark):
     data = table(spark, ("1", "X", 1, 900, None), ("2", "X", 1, 900, None))
     stores = spark.createDataFrame([("A-009", "1"), ("A", "2")], "chain_id string, store_id string")
     assert rows(offers.attribute_brands(data, stores), "store_id", "chain_id") == [("1", "A-009"), ("2", "A")]
+
+
+TERMS_DDL = "chain_id string, barcode string, club int, coupon int, min_qty decimal(10,3), agorot bigint"
+
+
+def test_live_offers_are_joined_to_their_links_once(spark, capsys):
+    one = Decimal("1.000")
+    built = spark.createDataFrame([("A", "1", 0, 0, one, 500, 500, "x", None, None), ("A", "2", 0, 0, one, 400, 400, "y", None, None)],
+                                  TERMS_DDL + ", unit_agorot bigint, description string, starts date, ends date")
+    links = spark.createDataFrame([("A", "1", 0, 0, one, 500, "s1"), ("A", "1", 0, 0, one, 500, "s2")], TERMS_DDL + ", store_id string")
+    merged, live, everywhere = offers.read_merge(built, links, "1998-06-01")
+    for table in (merged, live, everywhere):
+        table.explain()
+    assert "Join" not in capsys.readouterr().out
+    assert rows(merged, "barcode", "agorot") == [("1", 500)] and rows(live, "store_id") == [("s1",), ("s2",)]
+    kept, kept_links = offers.prune_dominated(merged, live)
+    kept.explain()
+    assert "min(struct" not in capsys.readouterr().out.replace("named_struct", "struct")
+    assert rows(kept, "barcode") == [("1",)] and rows(kept_links, "store_id") == [("s1",), ("s2",)]
+
+
+def test_no_bitmap_is_shuffled(spark, capsys):
+    branches = spark.range(3000).select((F.col("id") % 7).alias("deal_id"), F.lit("A").alias("chain_id"), F.col("id").cast("string").alias("store_id"))
+    bits = spark.range(40_000).select(F.lit("A").alias("chain_id"), F.col("id").cast("string").alias("store_id"), (F.col("id") * 13).alias("bit"))
+    maps = offers.branch_bitmaps(branches, bits)
+    sizes = maps.groupBy("deal_id").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
+    sizes.explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning" not in plan[:plan.index("partial_bitmap_construct_agg")]
+    assert sorted(r.n for r in sizes.collect()) == [428] * 3 + [429] * 4
