@@ -15,6 +15,7 @@ from shelfwise.functions import money, text
 from shelfwise.operators.spread import (
     FEW_KEYS_WAYS, exists_join, fits_broadcast, lookup_join, max_by_order, spread_join,
 )
+from shelfwise.session import cut_lineage
 
 STORE_KEY = ["chain_id", "store_id"]
 ITEM_KEY = ["chain_id", "barcode"]
@@ -256,7 +257,7 @@ def cheapest_rows(stores: DataFrame, base: DataFrame, exc: DataFrame, limit: int
     """
     order = ["agorot", "barcode", "chain_id"]
     shops = stores.select(*STORE_KEY).distinct()
-    own = exists_join(exc, shops, STORE_KEY, ["barcode"])
+    own = cut_lineage(exists_join(exc, shops, STORE_KEY, ["barcode"]))
     apart = own.orderBy(*order, "store_id").limit(limit).select(*ITEM_KEY, "store_id", "agorot")
     counts = shops.groupBy("chain_id").agg(F.count(F.lit(1)).alias("_shops"))
     taken = own.groupBy(*ITEM_KEY).agg(F.count(F.lit(1)).alias("_apart"))
