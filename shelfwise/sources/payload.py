@@ -65,6 +65,13 @@ def sniffed_texts(files: DataFrame) -> DataFrame:
 
 # Bytes handed to the parser at once.
 CHUNK = 1 << 16
+# Rows after which a task hands on what it has parsed.
+FRAME_ROWS = 10_000
+
+
+def spread_files(files: DataFrame) -> DataFrame:
+    """Files over all shuffle partitions: parsing takes far longer than their bytes suggest, by which Spark would put many into one task."""
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_file")
 
 
 def _tag(name: str) -> str:
@@ -126,16 +133,21 @@ def store_branches(files: DataFrame) -> DataFrame:
 
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows: list[tuple] = []
             for name, raw in zip(batch["_file"], batch["content"]):
                 _, plain = unpack(bytes(raw))
                 try:
-                    rows = branches_of(plain) if plain else []
+                    rows += [(name, *r) for r in branches_of(plain)] if plain else []
                 except ET.ParseError:
                     continue
-                if rows:
-                    yield pd.DataFrame([(name, *r) for r in rows], columns=names)
-
-    return files.select("_file", "content").mapInPandas(per_batch, schema)
+                # A frame for many files, since most have few branches.
+                if len(rows) >= FRAME_ROWS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+
+    return spread_files(files.select("_file", "content")).mapInPandas(per_batch, schema)
 
 
 def tag_paths(files: DataFrame) -> DataFrame:
