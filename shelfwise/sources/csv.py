@@ -6,7 +6,8 @@ import csv
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join
+from shelfwise.operators.spread import lookup_join
+from shelfwise.session import cut_lineage
 
 # Fixed value: the cell text that stands for a real empty string.
 EXPLICIT_EMPTY = "''"
@@ -45,7 +46,8 @@ def read_masked(spark: SparkSession, path, glob: str = "*.csv") -> DataFrame | N
     inside the data. A quoted cell does not span lines.
     """
     lines = _lines(spark, path, glob)
-    heads = headers(lines)
+    # Stored, so that first lines are looked for once; what joins is the file and the number of its header.
+    heads = cut_lineage(headers(lines))
     kinds = sorted(r["_header"] for r in heads.select("_header").distinct().collect())
     if not kinds:
         return None
@@ -53,8 +55,9 @@ def read_masked(spark: SparkSession, path, glob: str = "*.csv") -> DataFrame | N
     names = sorted({n for own in cells for n in own})
     width = max(len(own) for own in cells)
     number = F.create_map(*[x for k, kind in enumerate(kinds) for x in (F.lit(kind), F.lit(k))])
-    known = lookup_join(lines, heads.select("_file", number[F.col("_header")].alias("_kind"), "_header"), ["_file"], ["_block", "_row"], "inner", FEW_KEYS_WAYS)
-    body = known.filter((F.trim("value") != "") & (F.col("value") != F.col("_header")))
+    known = lookup_join(lines, heads.select("_file", number[F.col("_header")].alias("_kind")), ["_file"], ["_block", "_row"], "inner")
+    header = F.get(F.array(*[F.lit(kind) for kind in kinds]), F.col("_kind"))
+    body = known.filter((F.trim("value") != "") & (F.col("value") != header))
     parsed = body.withColumn("_c", F.from_csv("value", ", ".join(f"c{k} string" for k in range(width))))
     array = F.array(*[F.col(f"_c.c{k}") for k in range(width)])
     place = lambda n: F.array(*[F.lit(own.index(n) if n in own else None).cast("int") for own in cells])

@@ -4,7 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.sources import csv, files, lookups, xml
+from shelfwise.operators import spread
+from shelfwise.sources import csv, files, lookups, payload, xml
 from tests.conftest import rows
 
 
@@ -146,3 +147,22 @@ def test_flat_files(spark):
     head = "<r><ChainId>7-7</ChainId><x:StoreID xmlns:x='u'>005</x:StoreID><Items/></r>"
     assert rows(files.header_identity(spark.createDataFrame([("p", head), ("q", shops)], "_file string, content string"))) == [
         ("p", "77", "5"), ("q", None, None)]
+
+
+def test_headers_travel_as_numbers_and_are_looked_for_once(spark, tmp_path, capsys, monkeypatch):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("a,b\n1,\n,2\n" if k else "B,c\n3,4\n")
+    monkeypatch.setattr(csv, "lookup_join", lambda big, small, on, by, how, *ways: spread.spread_join(big, small, on, by, how, *ways))
+    found = csv.read_masked(spark, str(tmp_path))
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "min(" not in plan and ",62" not in plan.replace(" ", "")
+    assert sorted((r.a or "", r.b, r.c or "") for r in found.collect()) == [("", "3", "4"), ("1", "", ""), ("1", "", ""), ("1", "2", ""), ("1", "2", "")]
+
+
+def test_branch_files_are_parsed_over_all_partitions_in_large_frames(spark, monkeypatch):
+    one = lambda k: f"<Root><ChainID>72</ChainID><Store><StoreID>{k}</StoreID></Store></Root>".encode()
+    files = spark.createDataFrame([(f"f{k}", one(k) if k % 5 else b"<Root>") for k in range(40)], "_file string, content binary").coalesce(1)
+    found = payload.store_branches(files)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(int(r.store_id) for r in found.collect()) == [k for k in range(40) if k % 5]
