@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions import text
 from shelfwise.operators.spread import exists_join, fits_broadcast, spread_join
+from shelfwise.session import cut_lineage
 
 # Published BM25 parameters and the filler rule.
 K1, B, MIN_IDF = 1.2, 0.75, 1e-6
@@ -41,17 +42,19 @@ def postings(docs: DataFrame) -> DataFrame:
         "t.token", "barcode", F.col("t.tf").cast("bigint").alias("tf"), "dl")
 
 
-def query_postings(docs: DataFrame, words: list[str]) -> DataFrame:
-    """Postings of just these words, for texts without a stored index.
+def query_index(docs: DataFrame, words: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Postings of just these words, and the corpus totals, for texts without a stored index.
 
-    Each text is cut once and reduced to the asked words before anything is
-    exploded or counted.
+    Each text is cut once and reduced in its own row to its length and the counts of the asked words. These are stored,
+    because ranking reads them three times: for the totals, the words' frequencies and the scores.
     """
     asked = F.array(*[F.lit(w) for w in sorted(set(words))])
-    cut = docs.select("barcode", "dl", F.explode(F.array(text.tokens(F.col("name")))).alias("_all"))
-    found = cut.select("barcode", "dl", "_all", F.explode(F.array_intersect(asked, "_all")).alias("token"))
-    tf = F.size(F.filter("_all", lambda w: w == F.col("token")))
-    return found.select("token", "barcode", tf.cast("bigint").alias("tf"), "dl")
+    cut = docs.select("barcode", F.explode(F.array(text.tokens(F.col("name")))).alias("_all"))
+    found = F.transform(F.array_intersect(asked, "_all"), lambda t: F.struct(
+        t.alias("token"), F.size(F.filter("_all", lambda w: w == t)).cast("bigint").alias("tf")))
+    counted = cut_lineage(cut.select("barcode", F.size("_all").cast("bigint").alias("dl"), found.alias("_found")))
+    posts = counted.select("barcode", "dl", F.explode("_found").alias("t")).select("t.token", "barcode", "t.tf", "dl")
+    return posts, corpus_stats(counted)
 
 
 def corpus_stats(docs: DataFrame) -> DataFrame:

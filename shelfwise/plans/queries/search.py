@@ -71,9 +71,9 @@ def bm25_scores(b: Bridge):
        ("words", "postings"))
 def bm25_top_documents(b: Bridge):
     """The same scores without a stored index: only the asked words are kept."""
-    docs, _, stats = b.search_index()
+    posts, stats = search.query_index(search.index_docs(b.documents()), WORDS)
     score = F.round(F.col("score") * 10000).cast("bigint")
-    return search.bm25(search.query_postings(docs, WORDS), stats, WORDS).select("barcode", score.alias("score")).orderBy(
+    return search.bm25(posts, stats, WORDS).select("barcode", score.alias("score")).orderBy(
         F.desc("score"), "barcode").limit(20)
 
 

@@ -92,6 +92,19 @@ def test_bm25_equals_the_formula(spark):
         assert math.isclose(got.get(str(i), 0.0), score, abs_tol=1e-12)
 
 
+def test_texts_are_cut_once_for_a_ranking_without_an_index(spark, capsys):
+    texts = ["red milk red", "milk, MILK bread", "", "a b", "red-bread bread", None, "other words"]
+    data = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "barcode string, name string")
+    docs, query = search.index_docs(data), ["red", "bread", "bread", "none"]
+    posts, stats = search.query_index(docs, query)
+    assert rows(posts, "token", "barcode", "tf", "dl") == rows(search.postings(docs).filter("token in ('red', 'bread')"), "token", "barcode", "tf", "dl")
+    assert rows(stats) == rows(search.corpus_stats(docs))
+    found = search.bm25(posts, stats, query)
+    assert rows(found) == rows(search.bm25(search.postings(docs), search.corpus_stats(docs), query))
+    found.explain()
+    assert "split(" not in capsys.readouterr().out
+
+
 def test_search_tiers(spark):
     data = [("1", "milk"), ("2", "milk chocolate"), ("3", "chocolate milk bar"), ("4", "chocolate milk"), ("5", "soap"), ("6", "chocolate milk")]
     products = spark.createDataFrame(data, "barcode string, name string")
