@@ -16,7 +16,7 @@ from shelfwise.functions import money, text
 from shelfwise.operators.numbering import number_rows
 from shelfwise.operators.prices import ITEM_KEY, shelf_prices
 from shelfwise.operators.spread import (
-    FEW_KEYS_WAYS, exists_join, lookup_join, min_by_order, spread_join,
+    FEW_KEYS_WAYS, exists_join, grouped, hashed_join, lookup_join, min_by_order, spread_join,
 )
 from shelfwise.session import cut_lineage
 
@@ -50,7 +50,7 @@ def merge_offers(rows: DataFrame) -> DataFrame:
     worded = text.blank_to_null(F.col("description"))
     wording = F.min(F.when(worded.isNotNull(), F.struct(
         F.length(worded).alias("n"), worded.alias("description"), F.col("promo_id"))))
-    merged = rows.groupBy(*BUILD_TERMS).agg(
+    merged = grouped(rows, BUILD_TERMS).agg(
         F.min("starts").alias("starts"), F.max("ends").alias("ends"),
         wording.alias("_w"), F.min("promo_id").alias("_p"),
     )
@@ -82,16 +82,16 @@ def resolve_shelf_offers(staged: DataFrame, base: DataFrame, exc: DataFrame) ->
 
 def group_resolved(resolved: DataFrame) -> DataFrame:
     """Resolved rows as offers: least id, least text, widest dates."""
-    out = resolved.groupBy(*BUILD_TERMS).agg(
+    out = grouped(resolved, BUILD_TERMS).agg(
         F.min("promo_id").alias("promo_id"), F.min("description").alias("description"),
         F.min("starts").alias("starts"), F.max("ends").alias("ends"),
     )
-    return out.withColumn("unit_agorot", money.per_unit(F.col("agorot"), F.col("min_qty")))
+    return out.withColumn("unit_agorot", money.per_unit(F.col("agorot"), F.col("min_qty"))).drop("_key")
 
 
 def add_new_offers(offers: DataFrame, resolved: DataFrame) -> DataFrame:
     """Add offers whose terms are not known yet; known ones stay as they are."""
-    new = group_resolved(resolved).join(offers.select(*BUILD_TERMS), BUILD_TERMS, "left_anti")
+    new = hashed_join(group_resolved(resolved), offers.select(*BUILD_TERMS), BUILD_TERMS, "left_anti")
     return offers.unionByName(new.select(*offers.columns))
 
 
@@ -128,7 +128,7 @@ def read_merge(offers: DataFrame, links: DataFrame, today: str) -> tuple[DataFra
     """
     # Read three times, so it is joined once.
     said = [*BUILD_TERMS, "unit_agorot", "description", "starts", "ends"]
-    linked = cut_lineage(links.join(offers.select(*said), BUILD_TERMS, "inner").select(*said, "store_id"))
+    linked = cut_lineage(hashed_join(links, offers.select(*said), BUILD_TERMS, "inner").select(*said, "store_id"))
     everywhere = linked.select("chain_id", "store_id").distinct()
     qty, unit = money.effective_terms(F.col("min_qty"), F.col("agorot"))
     # An offer whose quantity is not a weight keeps its own unit price.
@@ -138,10 +138,10 @@ def read_merge(offers: DataFrame, links: DataFrame, today: str) -> tuple[DataFra
     repaired = repaired.drop("min_qty", "unit_agorot").withColumnsRenamed(
         {"_qty": "min_qty", "_unit": "unit_agorot"})
     worded = text.blank_to_null(F.col("description"))
-    merged = repaired.groupBy(*READ_TERMS).agg(
+    merged = grouped(repaired, READ_TERMS).agg(
         F.min("agorot").alias("agorot"), F.min("starts").alias("starts"), F.max("ends").alias("ends"),
         F.min(F.when(worded.isNotNull(), F.struct(F.length(worded).alias("n"), worded.alias("d")))).alias("_w"),
-    ).withColumn("description", F.col("_w.d")).drop("_w")
+    ).withColumn("description", F.col("_w.d")).drop("_w", "_key")
     return merged, repaired.select(*READ_TERMS, "store_id").distinct(), everywhere
 
 
@@ -159,7 +159,7 @@ def best_somewhere(links: DataFrame) -> DataFrame:
 def prune_dominated(merged: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Survivors with their full branch lists."""
     kept = cut_lineage(best_somewhere(links))
-    return merged.join(kept, READ_TERMS, "left_semi"), links.join(kept, READ_TERMS, "left_semi")
+    return hashed_join(merged, kept, READ_TERMS, "left_semi"), hashed_join(links, kept, READ_TERMS, "left_semi")
 
 
 def build_deals(kept: DataFrame, base: DataFrame, products: DataFrame, chain_products: DataFrame,
@@ -169,7 +169,7 @@ def build_deals(kept: DataFrame, base: DataFrame, products: DataFrame, chain_pro
     prices = base.select(*ITEM_KEY, F.col("agorot").alias("base_agorot"))
     own = chain_products.select(*ITEM_KEY, F.col("name").alias("_own"))
     common = products.select("barcode", F.col("name").alias("_common"))
-    named = kept.join(prices, ITEM_KEY, "left").join(own, ITEM_KEY, "left")
+    named = hashed_join(hashed_join(kept, prices, ITEM_KEY, "left"), own, ITEM_KEY, "left")
     named = lookup_join(named, common, ["barcode"], ["chain_id", "unit_agorot"])
     named = lookup_join(named, categories.select("barcode", "category_id"), ["barcode"], ["chain_id", "unit_agorot"])
     deals = named.withColumns({

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import money, text
 from shelfwise.operators.spread import (
-    FEW_KEYS_WAYS, exists_join, fits_broadcast, lookup_join, max_by_order, spread_join,
+    FEW_KEYS_WAYS, exists_join, fits_broadcast, hashed_join, lookup_join, max_by_order, spread_join,
 )
 from shelfwise.session import cut_lineage
 
@@ -176,9 +176,12 @@ def baselines(latest: DataFrame) -> DataFrame:
 
 
 def exceptions(latest: DataFrame, base: DataFrame) -> DataFrame:
-    """Observations that differ from their item's baseline."""
+    """Observations that differ from their item's baseline.
+
+    An item has at most one row per store of its chain, so the baselines need no copies under salts.
+    """
     unique = base.select(*ITEM_KEY, F.col("agorot").alias("_base"))
-    joined = lookup_join(latest, unique, ITEM_KEY, ["store_id"], "inner")
+    joined = lookup_join(latest, unique, ITEM_KEY, ["store_id"], "inner", ways=1)
     return joined.filter(F.col("agorot") != F.col("_base")).select(*PRICE_KEY, "agorot")
 
 
@@ -210,7 +213,7 @@ def effective_prices(stores: DataFrame, base: DataFrame, exc: DataFrame) -> Data
         items = base.select(*ITEM_KEY, F.col("agorot").alias("_base"))
         fanned = spread_join(items, shops, ["chain_id"], ["barcode"], "inner", FEW_KEYS_WAYS)
         own = exc.select(*PRICE_KEY, F.col("agorot").alias("_own"))
-        priced = fanned.join(own, PRICE_KEY, "left")
+        priced = hashed_join(fanned, own, PRICE_KEY, "left")
         return priced.withColumn("agorot", F.coalesce("_own", "_base")).drop("_own", "_base")
     rest, order = [c for c in shops.columns if c not in STORE_KEY], [*STORE_KEY, *[c for c in shops.columns if c not in STORE_KEY], "barcode", "agorot"]
     listed = shops.groupBy("chain_id").agg(F.collect_set("store_id").alias("_all"))
@@ -325,7 +328,7 @@ def shelf_prices(rows: DataFrame, base: DataFrame, exc: DataFrame) -> DataFrame:
     """
     own = exc.select(*PRICE_KEY, F.col("agorot").alias("_own"))
     usual = base.select(*ITEM_KEY, F.col("agorot").alias("_base"))
-    priced = rows.join(own, PRICE_KEY, "left")
+    priced = hashed_join(rows, own, PRICE_KEY, "left")
     if fits_broadcast(usual):
         priced = priced.join(F.broadcast(usual), ITEM_KEY, "left")
     else:

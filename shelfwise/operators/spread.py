@@ -9,7 +9,7 @@ leaves adaptive execution free to split a skewed partition as far as needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 WAYS = 2
 # For keys with few values, such as the chain, where one value is always large.
@@ -71,7 +71,28 @@ def spread_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list
                 how: str = "left", ways: int = WAYS) -> DataFrame:
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return hashed_join(salted, copies, [*on, "_salt"], how).drop("_salt")
+
+
+def hashed_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join on equal ``on``, with a hash of them as the first key.
+
+    Spark sorts rows by the first key and compares the others only where it ties. A chain ties for most rows, a hash for rows
+    of one key and a few others; 32 bits of it, because more are shuffled whole. Keys of different types, which a join makes equal first, are joined plainly.
+    """
+    kinds, others = dict(left.dtypes), dict(right.dtypes)
+    if any(kinds[c] != others[c] for c in on):
+        return left.join(right, on, how)
+    columns = [*on, *[c for c in left.columns if c not in on]]
+    if how not in ("left_semi", "left_anti"):
+        columns += [c for c in right.columns if c not in on]
+    key = F.hash(*on)
+    return left.withColumn("_key", key).join(right.withColumn("_key", key), ["_key", *on], how).select(*columns)
+
+
+def grouped(df: DataFrame, keys: list[str]) -> GroupedData:
+    """Groups by ``keys`` with a hash of them as the first key, for aggregates that Spark sorts: see :func:`hashed_join`."""
+    return df.withColumn("_key", F.hash(*keys)).groupBy("_key", *keys)
 
 
 def exists_join(big: DataFrame, keys: DataFrame, on: list[str], spread_by: list[str],
@@ -85,7 +106,7 @@ def max_by_order(df: DataFrame, keys: list[str], order: list[Column], values: li
     best = F.max(F.struct(
         *[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(v) for v in values]
     )).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
+    return grouped(df, keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
 def min_by_order(df: DataFrame, keys: list[str], order: list[Column], values: list[str]) -> DataFrame:
@@ -93,4 +114,4 @@ def min_by_order(df: DataFrame, keys: list[str], order: list[Column], values: li
     best = F.min(F.struct(
         *[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(v) for v in values]
     )).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
+    return grouped(df, keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])

@@ -157,13 +157,12 @@ class Bridge:
         priced, _ = offer_ops.split_priced(self.offer_rows())
         return offer_ops.merge_offers(priced), offer_ops.offer_links(priced)
 
-    def stored_offers(self) -> tuple[DataFrame, DataFrame]:
-        """The same, each written once."""
-        offers, links = self.offer_tables()
-        return self.once("offers", lambda: offers), self.once("links", lambda: links)
+    def stored_links(self) -> DataFrame:
+        """The links, written once: queries of branches read them again. The offers are read once, by the read merge."""
+        return self.once("links", lambda: self.offer_tables()[1])
 
     def read_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return offer_ops.read_merge(*self.stored_offers(), TODAY)
+        return offer_ops.read_merge(self.offer_tables()[0], self.stored_links(), TODAY)
 
     def kept(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         merged, links, everywhere = self.read_tables()

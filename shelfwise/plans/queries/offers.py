@@ -150,7 +150,7 @@ def deals_page_after_cursor(b: Bridge):
     ORDER BY discount_tenths DESC, deal_id LIMIT 25""", ("real_deals", "klinks", "stores", "links"))
 def deals_of_chain(b: Bridge):
     table, links, _ = b.deals()
-    page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN, bits=offers.store_bits(b.stores(), b.stored_offers()[1]))
+    page = offers.list_chain_deals(table, offers.deal_branches(table, links), CHAIN, bits=offers.store_bits(b.stores(), b.stored_links()))
     return page.select(*deal_columns(), "branches_on_deal", "branches_total")
 
 
@@ -286,7 +286,7 @@ def branches_without_bit(b: Bridge):
     SELECT deal_id, count(*) AS branches FROM deals JOIN klinks USING ({KEY}, unit_agorot) GROUP BY deal_id""", ("deals", "klinks"))
 def deal_bitmap_sizes(b: Bridge):
     table, links, _ = b.deals()
-    bits = offers.store_bits(b.stores(), b.stored_offers()[1])
+    bits = offers.store_bits(b.stores(), b.stored_links())
     maps = offers.branch_bitmaps(offers.deal_branches(table, links), bits)
     return maps.groupBy("deal_id").agg(F.sum(F.bitmap_count("bitmap")).alias("branches"))
 

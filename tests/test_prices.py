@@ -128,6 +128,28 @@ def test_salted_join_equals_plain_join(spark):
         assert rows(spread.spread_join(big, small, ["k"], ["id"], how)) == rows(big.join(small, "k", how))
 
 
+def test_joins_and_groups_are_sorted_by_a_hash_of_their_keys(spark, capsys):
+    left = spark.createDataFrame([("A", str(k % 7) if k % 5 else None, k) for k in range(60)], "chain_id string, barcode string, n bigint")
+    right = spark.createDataFrame([("A", str(k), 10 * k) for k in range(5)] + [("A", None, 1)], "chain_id string, barcode string, v bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            mine, plain = spread.hashed_join(left, right, ["chain_id", "barcode"], how), left.join(right, ["chain_id", "barcode"], how)
+            assert mine.columns == plain.columns and rows(mine) == rows(plain)
+            mine.explain()
+            assert "Sort [_key" in capsys.readouterr().out
+        # Keys that a join would cast first hash differently, so they are joined plainly.
+        wide = right.withColumn("n", F.col("v").cast("int"))
+        assert rows(spread.hashed_join(left, wide, ["n"], "left_semi")) == rows(left.join(wide, ["n"], "left_semi")) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    best = spread.max_by_order(left, ["chain_id", "barcode"], [F.col("n") % 10, F.col("n")], ["n"])
+    assert best.columns == ["chain_id", "barcode", "n"] and best.count() == 8
+    best.explain()
+    assert "Sort [_key" in capsys.readouterr().out
+
+
 def test_fan_out_is_not_shuffled_and_both_ways_agree(spark, tmp_path, capsys):
     spark.createDataFrame([(c, f"s{k}", "T") for c in "AB" for k in range(30)] + [("D", "s1", "T")],
                           "chain_id string, store_id string, city string").write.parquet(str(tmp_path / "stores"))
