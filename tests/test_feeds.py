@@ -135,3 +135,29 @@ def test_a_known_offer_costs_one_call_to_the_state():
     assert [r.values.tolist() for r in first] == [[["k", pd.Timestamp("2025-01-01"), 9]]] and held == [(9,)] and timers == [9]
     assert list(memory.handleInputRows(("k",), iter([batch(("2025-01-04", 12))]), None)) == [] and held == [(12,)] and timers == [12]
     assert calls == ["get", "get"]
+
+
+def test_a_bucket_of_offers_costs_one_read_and_one_write_of_the_state():
+    import pandas as pd
+    from types import SimpleNamespace
+    from shelfwise.streaming.jobs import OfferBuckets
+
+    calls, timers, held = [], [], [None]
+    state = SimpleNamespace(get=lambda: calls.append("get") or held[0], update=lambda v: calls.append("update") or held.__setitem__(0, v),
+                            clear=lambda: calls.append("clear") or held.__setitem__(0, None))
+    memory = OfferBuckets()
+    memory.init(SimpleNamespace(getValueState=lambda *a: state, registerTimer=timers.append, deleteTimer=timers.remove))
+    batch = lambda *r: pd.DataFrame({"offer_key": [x[0] for x in r], "ts": pd.to_datetime([x[1] for x in r]), "ends_ms": [x[2] for x in r]})
+    told = lambda frames: sorted((r.offer_key, r.first_seen.day, r.ends_ms) for f in frames for r in f.itertuples())
+    many = [(f"k{n:04d}", "2025-01-01", 100 + n) for n in range(1000)]
+    assert told(memory.handleInputRows((7,), iter([batch(*many, ("k0003", "2025-01-02", 9)), batch(("k0003", "2024-12-31", 101))]), None)) == [
+        (k, 31 if k == "k0003" else 1, e) for k, _, e in many]
+    assert calls == ["get", "update"] and timers == [100]
+    assert told(memory.handleInputRows((7,), iter([batch(("k0000", "2025-01-03", 5000), ("new", "2025-01-03", 50))]), None)) == [("new", 3, 50)] and timers == [50]
+    # The watermark passes: whatever ended goes, the end itself included; what was extended stays known.
+    assert list(memory.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1099), None)) == []
+    timers.remove(50)  # Spark removes the timer that went off
+    assert timers == [5000]
+    assert told(memory.handleInputRows((7,), iter([batch(("k0000", "2025-01-04", 1), ("k0999", "2025-01-04", 6000))]), None)) == [("k0999", 4, 6000)]
+    list(memory.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 9000), None))
+    assert calls[-1] == "clear" and held == [None] and len(calls) == 10
