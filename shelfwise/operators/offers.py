@@ -16,7 +16,7 @@ from shelfwise.functions import money, text
 from shelfwise.operators.numbering import number_rows
 from shelfwise.operators.prices import ITEM_KEY, shelf_prices
 from shelfwise.operators.spread import (
-    FEW_KEYS_WAYS, exists_join, grouped, hashed_join, lookup_join, min_by_order, spread_join,
+    FEW_KEYS_WAYS, exists_join, grouped, hashed_join, lookup_join, many_first, min_by_order, spread_join,
 )
 from shelfwise.session import cut_lineage
 
@@ -50,7 +50,7 @@ def merge_offers(rows: DataFrame) -> DataFrame:
     worded = text.blank_to_null(F.col("description"))
     wording = F.min(F.when(worded.isNotNull(), F.struct(
         F.length(worded).alias("n"), worded.alias("description"), F.col("promo_id"))))
-    merged = grouped(rows, BUILD_TERMS).agg(
+    merged = rows.groupBy(*many_first(BUILD_TERMS)).agg(
         F.min("starts").alias("starts"), F.max("ends").alias("ends"),
         wording.alias("_w"), F.min("promo_id").alias("_p"),
     )
@@ -82,17 +82,23 @@ def resolve_shelf_offers(staged: DataFrame, base: DataFrame, exc: DataFrame) ->
 
 def group_resolved(resolved: DataFrame) -> DataFrame:
     """Resolved rows as offers: least id, least text, widest dates."""
-    out = grouped(resolved, BUILD_TERMS).agg(
+    out = resolved.groupBy(*many_first(BUILD_TERMS)).agg(
         F.min("promo_id").alias("promo_id"), F.min("description").alias("description"),
         F.min("starts").alias("starts"), F.max("ends").alias("ends"),
-    )
-    return out.withColumn("unit_agorot", money.per_unit(F.col("agorot"), F.col("min_qty"))).drop("_key")
+    ).select(*BUILD_TERMS, "promo_id", "description", "starts", "ends")
+    return out.withColumn("unit_agorot", money.per_unit(F.col("agorot"), F.col("min_qty")))
 
 
 def add_new_offers(offers: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Add offers whose terms are not known yet; known ones stay as they are."""
-    new = hashed_join(group_resolved(resolved), offers.select(*BUILD_TERMS), BUILD_TERMS, "left_anti")
-    return offers.unionByName(new.select(*offers.columns))
+    """Add offers whose terms are not known yet; known ones stay as they are.
+
+    Both sides meet once by their terms: with a test of absence before a union, the known offers would be made twice.
+    """
+    said = [c for c in offers.columns if c not in BUILD_TERMS]
+    new = group_resolved(resolved).select(*BUILD_TERMS, *[F.col(c).alias(f"_new_{c}") for c in said])
+    both = offers.withColumn("_known", F.lit(True)).join(new, many_first(BUILD_TERMS), "full_outer")
+    known = F.coalesce("_known", F.lit(False))
+    return both.select(*[c if c in BUILD_TERMS else F.when(known, F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c) for c in offers.columns])
 
 
 def relink(links: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -128,7 +134,7 @@ def read_merge(offers: DataFrame, links: DataFrame, today: str) -> tuple[DataFra
     """
     # Read three times, so it is joined once.
     said = [*BUILD_TERMS, "unit_agorot", "description", "starts", "ends"]
-    linked = cut_lineage(hashed_join(links, offers.select(*said), BUILD_TERMS, "inner").select(*said, "store_id"))
+    linked = cut_lineage(links.join(offers.select(*said), many_first(BUILD_TERMS)).select(*said, "store_id"))
     everywhere = linked.select("chain_id", "store_id").distinct()
     qty, unit = money.effective_terms(F.col("min_qty"), F.col("agorot"))
     # An offer whose quantity is not a weight keeps its own unit price.

@@ -332,5 +332,6 @@ def shelf_prices(rows: DataFrame, base: DataFrame, exc: DataFrame) -> DataFrame:
     if fits_broadcast(usual):
         priced = priced.join(F.broadcast(usual), ITEM_KEY, "left")
     else:
-        priced = spread_join(priced, usual, ITEM_KEY, ["store_id"], "left")
+        # Stored, so that the shuffles of the one join are gone before those of the other.
+        priced = spread_join(cut_lineage(priced), usual, ITEM_KEY, ["store_id"], "left")
     return priced.withColumn("shelf", F.coalesce("_own", "_base")).drop("_own", "_base")

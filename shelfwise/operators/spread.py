@@ -15,6 +15,8 @@ WAYS = 2
 # For keys with few values, such as the chain, where one value is always large.
 FEW_KEYS_WAYS = 64
 UNPACKED = 4
+# Keys with so many values that a sort seldom looks beyond them.
+MANY_VALUES = ("barcode",)
 
 
 def lookup_bytes(df: DataFrame) -> int | None:
@@ -78,7 +80,8 @@ def hashed_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> D
     """Join on equal ``on``, with a hash of them as the first key.
 
     Spark sorts rows by the first key and compares the others only where it ties. A chain ties for most rows, a hash for rows
-    of one key and a few others; 32 bits of it, because more are shuffled whole. Keys of different types, which a join makes equal first, are joined plainly.
+    of one key and a few others; 32 bits of it, because more are shuffled whole. With an item among the keys its hash alone, so that
+    rows of an item lie together and compress. Keys of different types, which a join makes equal first, are joined plainly.
     """
     kinds, others = dict(left.dtypes), dict(right.dtypes)
     if any(kinds[c] != others[c] for c in on):
@@ -86,13 +89,23 @@ def hashed_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> D
     columns = [*on, *[c for c in left.columns if c not in on]]
     if how not in ("left_semi", "left_anti"):
         columns += [c for c in right.columns if c not in on]
-    key = F.hash(*on)
+    key = _hash(on)
     return left.withColumn("_key", key).join(right.withColumn("_key", key), ["_key", *on], how).select(*columns)
 
 
 def grouped(df: DataFrame, keys: list[str]) -> GroupedData:
     """Groups by ``keys`` with a hash of them as the first key, for aggregates that Spark sorts: see :func:`hashed_join`."""
-    return df.withColumn("_key", F.hash(*keys)).groupBy("_key", *keys)
+    return df.withColumn("_key", _hash(keys)).groupBy("_key", *keys)
+
+
+def _hash(keys: list[str]) -> Column:
+    return F.hash(*([c for c in keys if c in MANY_VALUES] or keys))
+
+
+def many_first(keys: list[str]) -> list[str]:
+    """Keys of many values first: groups and joins by all of them are sorted as fast as by a hash, and where both go by the same
+    keys in this order, groups are joined where they are, without a shuffle."""
+    return sorted(keys, key=lambda c: c not in MANY_VALUES)
 
 
 def exists_join(big: DataFrame, keys: DataFrame, on: list[str], spread_by: list[str],

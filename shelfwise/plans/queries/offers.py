@@ -27,9 +27,10 @@ BUILT = "CAST(starts AS VARCHAR) AS starts, CAST(ends AS VARCHAR) AS ends, agoro
 
 
 def _resolved(b: Bridge):
+    """Offers at their shelf price, stored, as are the exceptions: so the shuffles of each step are gone before the next."""
     _, base, exc = b.prices()
     _, staged = offers.split_priced(b.offer_rows())
-    return offers.resolve_shelf_offers(staged, base, exc)
+    return b.once("resolved", lambda: offers.resolve_shelf_offers(staged, base, b.once("exc", lambda: exc)))
 
 
 @query("offer_merge_on_terms", f"SELECT {TERMS}, {BUILT} FROM offers", ("offers",))

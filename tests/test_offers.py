@@ -1,5 +1,6 @@
 import datetime
 import random
+import time
 from decimal import Decimal
 
 import pytest
@@ -180,3 +181,38 @@ def test_no_bitmap_is_shuffled(spark, capsys):
     plan = capsys.readouterr().out
     assert "hashpartitioning" not in plan[:plan.index("partial_bitmap_construct_agg")]
     assert sorted(r.n for r in sizes.collect()) == [428] * 3 + [429] * 4
+
+
+def test_known_offers_are_made_once_when_shelf_priced_ones_are_added(spark, capsys):
+    ddl = "chain_id string, barcode string, club int, coupon int, min_qty decimal(10,3), agorot bigint, promo_id string, description string, starts date, ends date, store_id string"
+    one, on = Decimal("1.000"), datetime.date(2026, 1, 1)
+    row = lambda code, agorot, promo, said, store="1": ("A", code, 0, 0, one, agorot, promo, said, on, None, store)
+    known = offers.merge_offers(spark.createDataFrame([row("7290001", 500, "9", "long text"), row("7290001", 500, "8", "text"), row("7290002", 300, "7", None)], ddl))
+    found = spark.createDataFrame([row("7290001", 500, "1", "a"), row("7290003", 100, "4", "z"), row("7290003", 100, "3", None, "2"), row("7290004", None, "5", "n")], ddl)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = offers.add_new_offers(known, found)
+        # The known one keeps its own id and text; a new one has its least id and least text.
+        assert got.columns == known.columns and rows(got, "barcode", "agorot", "unit_agorot", "promo_id", "description") == [
+            ("7290001", 500, 500, "8", "text"), ("7290002", 300, 300, "7", None), ("7290003", 100, 100, "3", "z"), ("7290004", None, None, "5", "n")]
+        got.explain()
+        plan = capsys.readouterr().out.partition("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 2  # one for the groups of each side, none for their meeting
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    from shelfwise.session import cut_lineage
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = spark.conf.get(key, None), spark._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: sum(f.getName().startswith("shuffle_") for f in [held.getAllFiles().apply(i) for i in range(held.getAllFiles().length())])
+    here = files()
+    stored = cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if files() <= here:
+            break
+        time.sleep(0.1)
+    assert files() <= here and stored.count() == 7 and spark.conf.get(key, None) == before
