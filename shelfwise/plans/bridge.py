@@ -125,9 +125,12 @@ class Bridge:
     def baselines(self) -> DataFrame:
         return price_ops.baselines(self.latest())
 
+    def stored_base(self) -> DataFrame:
+        """The baselines, written once, from latest prices that are: so the shuffles of one are gone before those of the other."""
+        return self.once("base", lambda: price_ops.baselines(self.once("latest", self.latest)))
+
     def prices(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        latest = self.once("latest", self.latest)
-        base = self.once("base", lambda: price_ops.baselines(latest))
+        latest, base = self.once("latest", self.latest), self.stored_base()
         return latest, base, price_ops.exceptions(latest, base)
 
     # --- offers
@@ -173,14 +176,14 @@ class Bridge:
     def chain_products(self) -> DataFrame:
         """Weighed items under the name that each chain gives them."""
         weighed = self.products().filter("is_weighted = 1").select("barcode", "name", "unit_qty", "unit_of_measure", "is_weighted")
-        sold = self.once("base", self.baselines).select("chain_id", "barcode").join(weighed, "barcode")
+        sold = self.stored_base().select("chain_id", "barcode").join(weighed, "barcode")
         return sold.withColumn("name", F.concat_ws(" ", "name", F.lower("chain_id")))
 
     def deals(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Deals, their branch links and every chain's branches on offer."""
         kept, links, everywhere = self.kept()
         deals = offer_ops.build_deals(
-            kept, self.once("base", self.baselines), self.products(), self.chain_products(), self.product_categories())
+            kept, self.stored_base(), self.products(), self.chain_products(), self.product_categories())
         return deals, links, everywhere
 
     # --- texts

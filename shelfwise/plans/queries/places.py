@@ -238,7 +238,7 @@ def _favourites(b: Bridge):
 def favourite_alerts(b: Bridge):
     favourites, shops = _favourites(b)
     kept, links, _ = b.kept()
-    rows = alerts.candidate_alerts(favourites, shops, kept, links, b.baselines(), TODAY)
+    rows = alerts.candidate_alerts(favourites, shops, kept, links, b.stored_base(), TODAY)
     return rows.select("user_id", *offers.READ_TERMS, "store_id")
 
 
