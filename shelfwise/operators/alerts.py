@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,12 +13,14 @@ from shelfwise.operators.catalog import resolve_scans
 from shelfwise.operators.offers import READ_TERMS
 from shelfwise.operators.prices import ITEM_KEY
 from shelfwise.operators.numbering import number_rows
-from shelfwise.operators.spread import FEW_KEYS_WAYS, lookup_join
+from shelfwise.operators.spread import FEW_KEYS_WAYS, fits_broadcast, lookup_join, many_first
+from shelfwise.session import cut_lineage
 
 # Fixed value: an offer without an end.
 OPEN_END = "9999-12-31"
 TERMS = ["chain_id", "barcode", "club", "coupon", "min_qty", "agorot"]
 MARKS = 1024
+ROUNDS = 4
 
 
 def is_current(built_at: Column, today: str) -> Column:
@@ -29,6 +32,17 @@ def _mark(*names: str) -> Column:
     return F.pmod(F.xxhash64(*names), F.lit(MARKS)).cast("smallint")
 
 
+def _by_users(*tables: DataFrame) -> list[tuple[DataFrame, ...]]:
+    """``tables`` with a ``user_id``, cut into ``ROUNDS`` by it unless they are small.
+
+    The marks go with every favourite, more than all other rows together; a round holds those of its users on disk, and no more.
+    """
+    if fits_broadcast(tables[0]):
+        return [tables]
+    turn = F.pmod(F.xxhash64("user_id"), F.lit(ROUNDS))
+    return [tuple(t.filter(turn == k) for t in tables) for k in range(ROUNDS)]
+
+
 def candidate_alerts(favourites: DataFrame, shops: DataFrame, offers: DataFrame, links: DataFrame,
                      base: DataFrame, today: str) -> DataFrame:
     """Live offers on each user's favourites at branches the user shops at.
@@ -46,10 +60,16 @@ def candidate_alerts(favourites: DataFrame, shops: DataFrame, offers: DataFrame,
                          & (F.col("starts").isNull() | (F.col("starts") <= day)))
     # Pairs of a favourite and an offer's branch are judged where they are made, by the marks of the user's branches: those of
     # other branches never reach a shuffle. Marks are few numbers, so some pass by chance; the semi join decides.
-    marked = wanted.join(shops.groupBy("user_id").agg(F.collect_set(_mark("chain_id", "store_id")).alias("_marks")), "user_id")
-    running = links.join(live.select(*READ_TERMS), READ_TERMS, "left_semi").withColumn("_mark", _mark("chain_id", "store_id"))
-    near = lookup_join(marked, running, ["barcode"], ["user_id"], "inner").filter(F.array_contains("_marks", F.col("_mark")))
-    at = near.select("user_id", *READ_TERMS, "store_id").join(shops, ["user_id", "chain_id", "store_id"], "left_semi")
+    running = cut_lineage(links.join(live.select(*READ_TERMS), many_first(READ_TERMS), "left_semi").select(*READ_TERMS, "store_id").withColumn(
+        "_mark", _mark("chain_id", "store_id")))
+    marks = shops.groupBy("user_id").agg(F.collect_set(_mark("chain_id", "store_id")).alias("_marks"))
+
+    def met(wanted: DataFrame, marks: DataFrame, shops: DataFrame) -> DataFrame:
+        near = lookup_join(wanted.join(marks, "user_id"), running, ["barcode"], ["user_id"], "inner").filter(F.array_contains("_marks", F.col("_mark")))
+        return near.select("user_id", *READ_TERMS, "store_id").join(shops, ["user_id", "chain_id", "store_id"], "left_semi")
+
+    turns = _by_users(cut_lineage(wanted), cut_lineage(marks), shops)
+    at = met(*turns[0]) if len(turns) == 1 else reduce(DataFrame.unionByName, [cut_lineage(met(*t)) for t in turns])
     branch = at.groupBy("user_id", *READ_TERMS).agg(F.min("store_id").alias("store_id"))
     found = branch.join(live, READ_TERMS)
     shelf = base.select(*ITEM_KEY, F.col("agorot").alias("shelf"))

@@ -223,7 +223,7 @@ def _favourites(b: Bridge):
     """All buyers: what they bought, and the stores they bought it at."""
     buyers = b.table("orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
-    rows = b.lines().join(buyers, "l_orderkey")
+    rows = b.once("bought", lambda: b.lines().join(buyers, "l_orderkey").select("user_id", "barcode", "chain_id", "store_id"))
     return rows.select("user_id", "barcode").distinct(), rows.select("user_id", "chain_id", "store_id").distinct()
 
 

@@ -259,6 +259,24 @@ def test_alerts_judge_branches_where_pairs_are_made(spark, monkeypatch):
     assert joins and all("Join Inner" in line for line in joins)
 
 
+def test_alerts_of_many_users_are_found_in_rounds(spark, monkeypatch):
+    terms = "chain_id string, barcode string, club int, coupon int, min_qty decimal(10,3), unit_agorot bigint"
+    codes = ["7290000000017", "7290000000024", "7290000000031"]
+    at = lambda f: f.selectExpr("chain_id", "barcode", "0 AS club", "0 AS coupon", "cast(1 AS decimal(10,3)) AS min_qty", "unit_agorot", *[c for c in f.columns if c == "store_id"])
+    links = at(spark.createDataFrame([("AB"[k % 2], codes[k % 3], 100 + k, str(s)) for k in range(6) for s in range(k + 2)], "chain_id string, barcode string, unit_agorot bigint, store_id string"))
+    offers = links.drop("store_id").distinct().selectExpr("*", "unit_agorot AS agorot", "cast(null AS date) AS starts", "cast(null AS date) AS ends")
+    assert offers.columns[:6] == [c.split()[0] for c in terms.split(", ")]
+    favourites = spark.createDataFrame([(u, codes[(u + k) % 3]) for u in range(40) for k in range(2)], "user_id bigint, barcode string")
+    shops = spark.createDataFrame([(u, c, str(u % 5)) for u in range(40) for c in "AB"], "user_id bigint, chain_id string, store_id string")
+    base = spark.createDataFrame([("A", codes[0], 900)], "chain_id string, barcode string, agorot bigint")
+    found = lambda: rows(alerts.candidate_alerts(favourites, shops, offers, links, base, "2026-09-10"), "user_id", "chain_id", "barcode", "unit_agorot", "store_id", "implausible")
+    at_once, stored, kept = found(), [], alerts.cut_lineage
+    monkeypatch.setattr(alerts, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(alerts, "cut_lineage", lambda df: stored.append(df) or kept(df))
+    assert found() == at_once and len(at_once) > 40
+    assert len(stored) == 3 + alerts.ROUNDS
+
+
 def test_word_shards_read_their_words_once(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(shards, "cut_lineage", lambda df: kept.append(df) or df.localCheckpoint())
