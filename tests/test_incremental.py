@@ -147,3 +147,16 @@ def test_vacuum_keeps_what_the_last_batches_need(spark, table):
 
 def test_an_empty_table_reads_as_empty(table):
     assert table.read().count() == 0 and table.batches() == []
+
+
+def test_rows_of_all_tables_and_chains_are_counted_by_one_job(spark):
+    frame = lambda *chains: spark.createDataFrame([(c, k) for k, c in enumerate(chains)], "chain_id string, n int")
+    spark.sparkContext.setJobGroup("counted", "")
+    try:
+        got = incremental._rows_by_chain({"a": frame("1", "1", "2"), "b": frame("2"), "c": frame("3").filter("false")})
+        jobs = [spark.sparkContext.statusTracker().getJobInfo(j) for j in spark.sparkContext.statusTracker().getJobIdsForGroup("counted")]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert got == {("a", "1"): 2, ("a", "2"): 1, ("b", "2"): 1} and incremental._rows_by_chain({}) == {}
+    # One job without adaptive stages; a job a stage with them: never one a table.
+    assert 1 <= len(jobs) <= 2
